@@ -69,3 +69,20 @@ def leading_shares(counted: Column, k: int = 1) -> Column:
     return F.transform(F.slice(ordered, 1, k),
                        lambda e: F.struct(e["category"].alias("category"),
                                           ((-e["o"]) / total).alias("share")))
+
+
+def with_shared_category_term(pairs: DataFrame, left: str, right: str, table: DataFrame, use_shares: bool = True,
+                              name: str = "category_term") -> DataFrame:
+    """Add the cluster category term of two ``leading_shares`` columns: the listed distances of all
+    pairs, times both shares if ``use_shares``; a pair the table does not list adds nothing."""
+    distinct = pairs.select(F.col(left).alias("__a"), F.col(right).alias("__b")).distinct()
+    crossed = (distinct.withColumn("__x", F.explode("__a")).withColumn("__y", F.explode("__b"))
+               .withColumn("__lo", F.least("__x.category", "__y.category"))
+               .withColumn("__hi", F.greatest("__x.category", "__y.category")))
+    listed = table.select(F.col("first_category").alias("__lo"), F.col("second_category").alias("__hi"),
+                          F.col("distance").alias("__d"))
+    factor = F.col("__x.share") * F.col("__y.share") if use_shares else F.lit(1.0)
+    sums = (crossed.join(listed, ["__lo", "__hi"]).groupBy("__a", "__b")
+            .agg(F.sum(F.col("__d") * factor).alias("__s"))
+            .select(F.col("__a").alias(left), F.col("__b").alias(right), "__s"))
+    return pairs.join(sums, [left, right], "left").withColumn(name, F.coalesce("__s", F.lit(0.0))).drop("__s")

@@ -133,6 +133,36 @@ def within(a: Block, b: Block, metric: Metric, categories: Categories, eps: floa
         yield i[keep], j[keep], approx[keep]
 
 
+def strips(a: Block, b: Block, metric: Metric, categories: Categories, rows: int = 16):
+    """Yield ``(first row, distances)`` of all of ``a`` against all of ``b``, a few rows at a time."""
+    terms = category_terms(a, b, metric, categories)
+    for start in range(0, len(a), rows):
+        part = slice(start, start + rows)
+        total = terms[np.ix_(a.sig[part], b.sig)]
+        for column, weight in metric.vectors:
+            gap = a.vec[column][part, None, :] - b.vec[column][None, :, :]
+            total = total + weight * np.sqrt(np.einsum("ijk,ijk->ij", gap, gap))
+        yield start, np.round(total, DIGITS)
+
+
+def spanning_tree(cost: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Minimum spanning tree (u, v, cost) of a symmetric matrix; infinite entries are no edges."""
+    n = len(cost)
+    best, source = np.full(n, np.inf), np.zeros(n, dtype=np.int64)
+    todo = np.ones(n, dtype=bool)
+    u, v, w = [], [], []
+    at = 0
+    for _ in range(n - 1):
+        todo[at] = False
+        closer = todo & (cost[at] < best)
+        best[closer], source[closer] = cost[at][closer], at
+        at = int(np.argmin(np.where(todo, best, np.inf)))
+        u.append(source[at])
+        v.append(at)
+        w.append(best[at])
+    return np.array(u, dtype=np.int64), np.array(v, dtype=np.int64), np.array(w, dtype=float)
+
+
 def unite(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
     """Merge the classes of ``u`` and ``v`` in place; every entry ends at its smallest member."""
     while len(u):

@@ -12,7 +12,7 @@ match to one task, and the task compares the two blocks with matrix products (se
   solid: it costs one comparison per row and anchor instead of all its pairs. Tasks return a
   spanning forest instead of their edges.
 
-All of this is exact; only :func:`lsh_edges` is approximate, and opt-in.
+All of this is exact: no pair is skipped that could be within ``eps``.
 """
 
 from __future__ import annotations

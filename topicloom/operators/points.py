@@ -20,13 +20,13 @@ VOCABULARY = 1_500
 
 def doc_points(docs: DataFrame, key: str = "url", part: str | None = None,
                title: str = "title_embedding", content: str = "content_embedding",
-               categories: str = "categories") -> DataFrame:
+               categories: str = "categories", keep: tuple[str, ...] = ()) -> DataFrame:
     """Documents as points; ``content`` names the vector used for content distances."""
     cats = known(F.col(categories))
     return docs.select(
         F.col(key).alias("id"), (F.col(part) if part else F.lit("")).alias("part"),
         F.col(title).alias("title_vec"), F.col(content).alias("content_vec"),
-        cats.alias("cats"), equal_shares(cats).alias("shares"))
+        cats.alias("cats"), equal_shares(cats).alias("shares"), *keep)
 
 
 def cluster_points(clusters: DataFrame, key: str = "cluster_id", part: str | None = None,
