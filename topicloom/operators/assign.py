@@ -17,11 +17,10 @@ from ..functions.categories import with_category_distance
 from ..functions.ids import is_noise
 from ..functions.metrics import comparable, weighted
 from ..functions.vectors import euclidean
-from ..session import BROADCAST_ROWS, BROADCAST_VALUES, rows_within
+from ..session import BROADCAST_ROWS, BROADCAST_VALUES, cut, rows_within
 from ..settings import (CLUSTER_FLAT, CLUSTER_SHARED, DOC_CONTENT, DOC_TITLE, EPS_CLUSTER_FLAT,
                         EPS_CLUSTER_SHARED, EPS_DOC_CONTENT, EPS_DOC_TITLE, Metric)
-from . import kernel
-from .kernel import Block
+from .kernel import Block, exact, near
 from .points import cluster_points, doc_points
 
 #: Rows of each side of a tile when the topics are too many to broadcast.
@@ -67,8 +66,8 @@ def best_matches(points: DataFrame, topics: DataFrame, rules: tuple[Rule, ...],
                     else np.full(len(b), -np.inf))
             edge = np.where(np.isnan(edge), -np.inf, edge)
             bound = np.maximum(edge, rule.threshold)
-            for i, j, _, _, terms in kernel.near(a, b, rule.metric, categories.value, bound):
-                d = kernel.exact(a, b, i, j, rule.metric, terms)
+            for i, j, _, _, terms in near(a, b, rule.metric, categories.value, bound):
+                d = exact(a, b, i, j, rule.metric, terms)
                 keep = d < bound[j]
                 i, j, d = i[keep], j[keep], d[keep]
                 order = np.lexsort((j, sign * d, i))
@@ -86,7 +85,7 @@ def best_matches(points: DataFrame, topics: DataFrame, rules: tuple[Rule, ...],
             "method": pa.array(np.where(border[hit], "border", "regular").tolist(), pa.string())})
 
     edges = [r.border for r in rules if r.border]
-    topics = topics.select("id", *columns, "cats", "shares", *edges)
+    topics = cut(topics.select("id", *columns, "cats", "shares", *edges), "topics")
     points = points.select("id", *columns, "cats", "shares")
     few = rows_within(topics, broadcast_rows)
     if few == 0:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..session import cut
 from ..settings import MIN_SAMPLES, Metric
 from .components import connected_components
-from .neighbors import degrees, links
+from .neighbors import core_points, links, smallest_roots
 
 
 def dbscan(points: DataFrame, metric: Metric, eps: float, categories: Broadcast,
@@ -21,28 +21,27 @@ def dbscan(points: DataFrame, metric: Metric, eps: float, categories: Broadcast,
     clusters are the connected components of the ε-graph and no count is needed. Otherwise core
     points connect, and a border point joins the adjacent cluster with the smallest root.
     """
-    if min_samples <= 1:
+    if min_samples < 2:
         raise ValueError("min_samples must be at least 2")
-    parts = points.select("id", "part")
     if min_samples == 2:
-        found, final = links(points, metric, eps, categories, **sizes)
-        found = cut(found.select(F.col("node").alias("u"), F.col("root").alias("v")), "links")
-        if final:
-            members = found.select(F.col("u").alias("id"), F.col("v").alias("root"))
-            members = members.unionByName(members.select(F.col("root").alias("id"), "root").distinct())
-        else:
-            members = connected_components(found)
-        return members.join(parts, "id").select("part", "id", "root")
-
-    counted = degrees(points, metric, eps, categories, **sizes)
-    cores = counted.select("part", "id", (F.col("n") >= min_samples).alias("core"))
-    flagged = cut(points.join(cores, ["part", "id"]), "cores")
-    found, _ = links(flagged, metric, eps, categories, **sizes)
-    found = cut(found, "links")
-    joined = connected_components(found.where("not border").select(F.col("node").alias("u"), F.col("root").alias("v")))
-    core = (flagged.where("core").select("part", "id").join(joined, "id", "left")
-            .select("part", "id", F.coalesce("root", "id").alias("root")))
-    border = (found.where("border").join(core.select(F.col("id").alias("root"), F.col("root").alias("top")), "root")
-              .groupBy("node").agg(F.min("top").alias("root"))
-              .select(F.col("node").alias("id"), "root").join(parts, "id"))
-    return core.unionByName(border.select("part", "id", "root"))
+        return _connected(points, metric, eps, categories, **sizes)
+
+    block = {k: v for k, v in sizes.items() if k == "block_rows"}
+    flags = cut(core_points(points, metric, eps, categories, min_samples, **block), "core-flags")
+    core = points.join(flags.where("core").select("id"), "id", "left_semi")
+    joined = _connected(core, metric, eps, categories, **sizes).select("id", "root")
+    rooted = cut(core.join(joined, "id", "left").withColumn("root", F.coalesce("root", "id")), "cores")
+    loose = points.join(flags.where("not core").select("id"), "id", "left_semi")
+    border = smallest_roots(loose, rooted, metric, eps, categories, **block)
+    return rooted.select("part", "id", "root").unionByName(border)
+
+
+def _connected(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, **sizes) -> DataFrame:
+    found, final = links(points, metric, eps, categories, **sizes)
+    found = cut(found.select(F.col("node").alias("u"), F.col("root").alias("v")), "links")
+    if final:
+        members = found.select(F.col("u").alias("id"), F.col("v").alias("root"))
+        members = members.unionByName(members.select(F.col("root").alias("id"), "root").distinct())
+    else:
+        members = connected_components(found)
+    return members.join(points.select("id", "part"), "id").select("part", "id", "root")

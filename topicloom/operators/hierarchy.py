@@ -21,8 +21,8 @@ from ..functions.ids import noise_id, topic_id
 from ..functions.vectors import dot
 from ..session import cut, is_empty
 from ..settings import OUTLIER_ALPHA, Metric
-from . import kernel
 from .components import connected_components
+from .kernel import spanning_tree, strips, vectors
 from .neighbors import _blocks, _empty, place
 from .ordinal import number_keys, number_within
 from .points import doc_points
@@ -46,7 +46,7 @@ def principal_axes(rows: DataFrame, part: str, vector: str, k: int = 2) -> DataF
     def moments(batches):
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            x = kernel.vectors(table, vector)
+            x = vectors(table, vector)
             parts = np.asarray(table.column(part).to_pylist(), dtype=object)
             for p in sorted(set(parts)):
                 mine = x[parts == p]
@@ -65,8 +65,8 @@ def principal_axes(rows: DataFrame, part: str, vector: str, k: int = 2) -> DataF
         rows_ = table.column("row").to_pylist()
         n, mean = rows_[0][0], np.array(rows_[0][1:]) / rows_[0][0]
         cov = np.array(rows_[1:]) / n - np.outer(mean, mean)
-        _, vectors = np.linalg.eigh((cov + cov.T) / 2)
-        axes = vectors[:, ::-1][:, :k].T
+        _, found = np.linalg.eigh((cov + cov.T) / 2)
+        axes = found[:, ::-1][:, :k].T
         # an axis has no sign of its own: its largest entry is made positive
         axes = axes * np.sign(axes[np.arange(len(axes)), np.abs(axes).argmax(axis=1)])[:, None]
         return pa.table({part: table.column(part).slice(0, 1), "mean": pa.array([mean.tolist()]),
@@ -93,7 +93,7 @@ def core_distances(points: DataFrame, metric: Metric, categories: Broadcast, k:
         for part, a, b, same, _, _ in _blocks(table, metric):
             for x, y in ([(a, b)] if same else [(a, b), (b, a)]):
                 near = np.full((len(x), k), np.inf)
-                for start, d in kernel.strips(x, y, metric, categories.value):
+                for start, d in strips(x, y, metric, categories.value):
                     if same:
                         d[np.arange(len(d)), start + np.arange(len(d))] = np.inf
                     near[start:start + len(d)] = np.sort(np.concatenate([np.full((len(d), k), np.inf), d], axis=1), axis=1)[:, :k]
@@ -120,7 +120,7 @@ def spanning_trees(points: DataFrame, metric: Metric, categories: Broadcast, **s
             ids = a.ids if same else np.concatenate([a.ids, b.ids])
             core_a, core_b = left.column("core").to_numpy(), right.column("core").to_numpy()
             cost = np.full((len(ids), len(ids)), np.inf)
-            for start, d in kernel.strips(a, b, metric, categories.value):
+            for start, d in strips(a, b, metric, categories.value):
                 rows = slice(start, start + len(d))
                 reach = np.maximum(np.maximum(core_a[rows, None], core_b[None, :]), d)
                 cost[rows, shift:shift + len(b)] = reach
@@ -128,7 +128,7 @@ def spanning_trees(points: DataFrame, metric: Metric, categories: Broadcast, **s
                     cost[n:, rows] = reach.T
             if len(ids) < 2:
                 continue
-            u, v, w = kernel.spanning_tree(cost)
+            u, v, w = spanning_tree(cost)
             x, y = ids[u], ids[v]
             out.append(pa.table({"part": pa.array([part] * len(w), pa.string()), "u": pa.array(np.minimum(x, y), pa.string()),
                                  "v": pa.array(np.maximum(x, y), pa.string()), "w": pa.array(w, pa.float64())}))

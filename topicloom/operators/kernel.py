@@ -17,21 +17,21 @@ STRIP = 512
 PAIRS = 65_536
 
 
-class Categories:
-    """Read-only category distances for tasks: a name index and a dense matrix (NaN = not listed)."""
+def category_table(names: list[str], matrix: np.ndarray) -> dict:
+    """Category distances for tasks: a name index and a dense matrix (NaN = not listed). Plain
+    values, so that executors need nothing but numpy to read the broadcast."""
+    padded = np.full((len(names) + 1, len(names) + 1), np.nan)
+    padded[:-1, :-1] = matrix
+    return {"index": {n: i for i, n in enumerate(names)}, "matrix": padded}
 
-    def __init__(self, names: list[str], matrix: np.ndarray):
-        self.index = {n: i for i, n in enumerate(names)}
-        padded = np.full((len(names) + 1, len(names) + 1), np.nan)
-        padded[:-1, :-1] = matrix
-        self.matrix = padded
 
-    def between(self, left: list[str], right: list[str], missing: float) -> np.ndarray:
-        other = len(self.index)
-        rows = np.array([self.index.get(n, other) for n in left], dtype=np.int64)
-        cols = np.array([self.index.get(n, other) for n in right], dtype=np.int64)
-        found = self.matrix[np.ix_(rows, cols)]
-        return np.where(np.isnan(found), missing, found)
+def listed(categories: dict, left: list[str], right: list[str], missing: float) -> np.ndarray:
+    """Distances between two name lists, ``missing`` where the table has none."""
+    index = categories["index"]
+    rows = np.array([index.get(n, len(index)) for n in left], dtype=np.int64)
+    cols = np.array([index.get(n, len(index)) for n in right], dtype=np.int64)
+    found = categories["matrix"][np.ix_(rows, cols)]
+    return np.where(np.isnan(found), missing, found)
 
 
 def vectors(table: pa.Table, column: str) -> np.ndarray:
@@ -67,9 +67,9 @@ class Block:
         return len(self.ids)
 
 
-def category_terms(a: Block, b: Block, metric: Metric, categories: Categories) -> np.ndarray:
+def category_terms(a: Block, b: Block, metric: Metric, categories: dict) -> np.ndarray:
     """Weighted category term for every pair of signatures."""
-    table = categories.between(a.names, b.names, metric.missing)
+    table = listed(categories, a.names, b.names, metric.missing)
     left, right = (a.weights, b.weights) if metric.use_shares else (a.counts, b.counts)
     terms = left @ table @ right.T
     terms[a.bare, :] = metric.empty
@@ -93,7 +93,7 @@ def exact(a: Block, b: Block, i: np.ndarray, j: np.ndarray, metric: Metric, term
     return np.round(total, DIGITS)
 
 
-def near(a: Block, b: Block, metric: Metric, categories: Categories, bound, half: bool = False):
+def near(a: Block, b: Block, metric: Metric, categories: dict, bound, half: bool = False):
     """Yield ``(i, j, approximate distance, tolerance, terms)`` of all pairs with distance at most
     ``bound`` (a number, or one per row of ``b``), strip by strip. Distances come from matrix
     products; callers re-evaluate with :func:`exact` wherever digits matter."""
@@ -122,7 +122,7 @@ def near(a: Block, b: Block, metric: Metric, categories: Categories, bound, half
         yield i[keep], j[keep], approx[keep], slack, terms
 
 
-def within(a: Block, b: Block, metric: Metric, categories: Categories, eps: float, half: bool = False,
+def within(a: Block, b: Block, metric: Metric, categories: dict, eps: float, half: bool = False,
            distances: bool = False):
     """Yield ``(i, j, distance)`` of all pairs at distance ≤ eps. Without ``distances`` only pairs
     close to the threshold are evaluated exactly."""
@@ -133,7 +133,7 @@ def within(a: Block, b: Block, metric: Metric, categories: Categories, eps: floa
         yield i[keep], j[keep], approx[keep]
 
 
-def strips(a: Block, b: Block, metric: Metric, categories: Categories, rows: int = 16):
+def strips(a: Block, b: Block, metric: Metric, categories: dict, rows: int = 16):
     """Yield ``(first row, distances)`` of all of ``a`` against all of ``b``, a few rows at a time."""
     terms = category_terms(a, b, metric, categories)
     for start in range(0, len(a), rows):

@@ -30,13 +30,13 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from ..settings import DIGITS, Metric
-from . import kernel
-from .kernel import Block, unite
+from .kernel import Block, unite, within
 
 BLOCK_ROWS = 2_048
 #: Parts of more blocks than this get anchors.
 ANCHOR_BLOCKS = 8
-ANCHORS = 256
+#: Anchors grow with the blocks of the table up to a bound that keeps their statistics small.
+FEW_ANCHORS, MANY_ANCHORS = 64, 1_024
 
 LEFT, RIGHT, BOTH = 0, 1, 2
 
@@ -80,15 +80,16 @@ def place(points: DataFrame, metric: Metric, eps: float, categories: Broadcast,
             *points.columns, F.col("__t.tile").alias("tile"), F.col("__t.side").alias("side"))
         return Tiles(small_rows.unionByName(rows), None, False)
 
+    anchors = min(MANY_ANCHORS, max(FEW_ANCHORS, 4 * bins))
     rows, links = _place_by_anchors(points.join(large.select("part"), "part", "left_semi"), points.columns,
-                                    metric, eps, categories, connect, block_rows)
+                                    metric, eps, categories, connect, block_rows, anchors)
     return Tiles(small_rows.unionByName(rows), links, False)
 
 
 def _place_by_anchors(points: DataFrame, columns: list[str], metric: Metric, eps: float,
-                      categories: Broadcast, connect: bool, block_rows: int) -> tuple[DataFrame, DataFrame | None]:
+                      categories: Broadcast, connect: bool, block_rows: int, anchors: int) -> tuple[DataFrame, DataFrame | None]:
     sample = (points.select("id", "part", *metric.columns, "cats", "shares")
-              .orderBy(F.xxhash64("id"), "id").limit(ANCHORS).toArrow())
+              .orderBy(F.xxhash64("id"), "id").limit(anchors).toArrow())
     owner = np.asarray(sample.column("part").to_pylist(), dtype=object)
     anchor_ids = sample.column("id").to_pylist()
     gate, gate_weight = metric.gate
@@ -123,7 +124,7 @@ def _place_by_anchors(points: DataFrame, columns: list[str], metric: Metric, eps
                     bound[at[mine[0]]] = spread.tolist()
                 if connect:
                     first = np.full(len(at), len(to))
-                    pairs = [(i, j) for i, j, _ in kernel.within(x, a, metric, categories.value, eps)]
+                    pairs = [(i, j) for i, j, _ in within(x, a, metric, categories.value, eps)]
                     i = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, int)
                     j = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0, int)
                     np.minimum.at(first, i, j)
@@ -143,7 +144,7 @@ def _place_by_anchors(points: DataFrame, columns: list[str], metric: Metric, eps
     placed = cut(points.mapInArrow(
         annotate, f"{fields}, cell int, star int, reach array<struct<a:int,b:int>>, bound array<double>"), "cells")
 
-    # anchors joined by some point; at most ANCHORS² small integers
+    # anchors joined by some point; at most the square of their number, as small integers
     merged = np.arange(len(anchor_ids))
     if connect:
         joins = placed.select(F.inline("reach")).distinct().toPandas()
@@ -183,6 +184,26 @@ def _place_by_anchors(points: DataFrame, columns: list[str], metric: Metric, eps
     return rows, links.where("node <> root")
 
 
+def place_across(left: DataFrame, right: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Tiles in which every left point meets every right point of its part. Few left points cost
+    one copy of the right ones."""
+    def sized(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
+
+    sizes = cut(sized(left, "kl").join(sized(right, "kr"), "part"), "blocks")
+    bins = max(1, sizes.count() // 64)
+
+    def dealt(side: DataFrame, own: str, other: str, flag: int) -> DataFrame:
+        rows = side.join(sizes, "part").withColumn("__b", F.pmod(F.xxhash64("id"), F.col(own)))
+        rows = rows.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        pair = ["__b", "__o"] if flag == LEFT else ["__o", "__b"]
+        small = F.concat(F.lit("p"), F.pmod(F.xxhash64("part"), F.lit(bins)))
+        tile = F.when((F.col("kl") == 1) & (F.col("kr") == 1), small).otherwise(F.concat_ws(":", F.lit("b"), "part", *pair))
+        return rows.select(*side.columns, tile.alias("tile"), F.lit(flag).alias("side"))
+
+    return dealt(left, "kl", "kr", LEFT).unionByName(dealt(right, "kr", "kl", RIGHT), allowMissingColumns=True)
+
+
 # -- inside a tile -----------------------------------------------------------------------------
 
 def _blocks(table: pa.Table, metric: Metric) -> Iterator[tuple[str, Block, Block, bool, pa.Table, pa.Table]]:
@@ -212,7 +233,7 @@ def eps_edges(points: DataFrame, metric: Metric, eps: float, categories: Broadca
     def run(table: pa.Table) -> pa.Table:
         out = []
         for part, a, b, same, _, _ in _blocks(table, metric):
-            for i, j, d in kernel.within(a, b, metric, categories.value, eps, half=same, distances=True):
+            for i, j, d in within(a, b, metric, categories.value, eps, half=same, distances=True):
                 left, right = a.ids[i], b.ids[j]
                 out.append(pa.table({
                     "part": pa.array([part] * len(d), pa.string()),
@@ -245,7 +266,7 @@ def degrees(points: DataFrame, metric: Metric, eps: float, categories: Broadcast
         out = []
         for part, a, b, same, _, _ in _blocks(table, metric):
             n, m = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-            for i, j, _ in kernel.within(a, b, metric, categories.value, eps, half=same):
+            for i, j, _ in within(a, b, metric, categories.value, eps, half=same):
                 n += np.bincount(i, minlength=len(a))
                 m += np.bincount(j, minlength=len(b))
             sides = [(a.ids, n + m + 1)] if same else [(a.ids, n), (b.ids, m)]
@@ -258,56 +279,97 @@ def degrees(points: DataFrame, metric: Metric, eps: float, categories: Broadcast
     return partial.groupBy("part", "id").agg(F.sum("n").alias("n"))
 
 
-def links(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, **sizes) -> tuple[DataFrame, bool]:
-    """Links with the same connected components as the ε-graph: ``(node, root, border)``.
+def core_points(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, k: int,
+                block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``(part, id, core)``: does a point have k neighbours, itself included?
 
-    With a ``core`` column only core points connect; a non-core point yields one ``border`` link
-    per group of cores it touches in a tile. The flag tells that no component spans two tiles, so
-    every ``root`` is final.
+    First every block is compared with itself only. In a dense topic that already proves nearly all
+    points core; just the others are then counted against the whole part.
     """
-    cored = "core" in points.columns
-    tiles = place(points, metric, eps, categories, connect=not cored, **sizes)
+    sizes = points.groupBy("part").agg(F.count(F.lit(1)).alias("__n"))
+    bins = max(1, math.ceil((sizes.agg(F.sum("__n")).first()[0] or 0) / block_rows))
+    blocks = F.ceil(F.col("__n") / block_rows).cast("int")
+    packed = F.concat(F.lit("p"), F.pmod(F.xxhash64("part"), F.lit(bins)))
+    own = F.concat_ws(":", F.lit("b"), "part", F.pmod(F.xxhash64("id"), blocks))
+    alone = (points.join(sizes, "part").withColumn("tile", F.when(blocks == 1, packed).otherwise(own))
+             .withColumn("side", F.lit(BOTH)).withColumn("whole", blocks == 1).drop("__n"))
+
+    def inside(table: pa.Table) -> pa.Table:
+        out = []
+        for part, a, b, _, left, _ in _blocks(table, metric):
+            n = np.ones(len(a), np.int64)
+            for i, j, _ in within(a, b, metric, categories.value, eps, half=True):
+                n += np.bincount(i, minlength=len(a)) + np.bincount(j, minlength=len(a))
+            out.append(pa.table({"part": pa.array([part] * len(a), pa.string()), "id": pa.array(a.ids, pa.string()),
+                                 "core": pa.array(n >= k), "known": pa.array((n >= k) | left.column("whole").to_numpy())}))
+        return pa.concat_tables(out) if out else _empty("part", "id", core=pa.bool_(), known=pa.bool_())
+
+    first = cut(alone.groupBy("tile").applyInArrow(inside, "part string, id string, core boolean, known boolean"), "core-first")
+    doubtful = points.join(first.where("not known").select("id"), "id", "left_semi")
+
+    def across(table: pa.Table) -> pa.Table:
+        out = []
+        for part, a, b, _, _, _ in _blocks(table, metric):
+            n = np.zeros(len(a), np.int64)
+            for i, j, _ in within(a, b, metric, categories.value, eps):
+                # the point itself is among the right ones
+                n += np.bincount(i[a.ids[i] != b.ids[j]], minlength=len(a))
+            out.append(pa.table({"part": pa.array([part] * len(a), pa.string()), "id": pa.array(a.ids, pa.string()),
+                                 "n": pa.array(n, pa.int64())}))
+        return pa.concat_tables(out) if out else _empty("part", "id", n=pa.int64())
+
+    counted = (place_across(doubtful, points, block_rows).groupBy("tile").applyInArrow(across, "part string, id string, n long")
+               .groupBy("part", "id").agg((F.sum("n") + 1 >= k).alias("core")))
+    return first.where("known").select("part", "id", "core").unionByName(counted)
+
+
+def smallest_roots(points: DataFrame, rooted: DataFrame, metric: Metric, eps: float, categories: Broadcast,
+                   block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``(part, id, root)``: the smallest ``root`` among the ``rooted`` points within eps of each
+    point. One row per point and tile leaves a task."""
+    def run(table: pa.Table) -> pa.Table:
+        out = []
+        for part, a, b, _, _, right in _blocks(table, metric):
+            names, code = np.unique(np.asarray(right.column("root").to_pylist(), dtype=object), return_inverse=True)
+            best = np.full(len(a), len(names))
+            for i, j, _ in within(a, b, metric, categories.value, eps):
+                np.minimum.at(best, i, code[j])
+            hit = np.nonzero(best < len(names))[0]
+            out.append(pa.table({"part": pa.array([part] * len(hit), pa.string()), "id": pa.array(a.ids[hit], pa.string()),
+                                 "root": pa.array(names[best[hit]], pa.string())}))
+        return pa.concat_tables(out) if out else _empty("part", "id", "root")
+
+    found = place_across(points, rooted, block_rows).groupBy("tile").applyInArrow(run, "part string, id string, root string")
+    return found.groupBy("part", "id").agg(F.min("root").alias("root"))
+
+
+def links(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, **sizes) -> tuple[DataFrame, bool]:
+    """Links with the same connected components as the ε-graph: ``(node, root)``. The flag tells that
+    no component spans two tiles, so every ``root`` is final."""
+    tiles = place(points, metric, eps, categories, connect=True, **sizes)
 
     def run(table: pa.Table) -> pa.Table:
         out = []
-        for _, a, b, same, left, right in _blocks(table, metric):
+        for _, a, b, same, _, _ in _blocks(table, metric):
             ids = a.ids if same else np.concatenate([a.ids, b.ids])
             order = np.argsort(ids, kind="stable")
             rank = np.empty(len(ids), dtype=np.int64)
             rank[order] = np.arange(len(ids))
             shift = 0 if same else len(a)
-            core = np.ones(len(ids), dtype=bool)
-            if cored:
-                flags = left.column("core").to_pylist() + ([] if same else right.column("core").to_pylist())
-                core[rank] = flags
             label = np.arange(len(ids))
-            fringe = []
-            for i, j, _ in kernel.within(a, b, metric, categories.value, eps, half=same):
-                u, v = rank[i], rank[j + shift]
-                both = core[u] & core[v]
-                unite(label, u[both], v[both])
-                for x, y in ((u, v), (v, u)):
-                    touch = ~core[x] & core[y]
-                    fringe.append(np.stack([x[touch], y[touch]]))
+            for i, j, _ in within(a, b, metric, categories.value, eps, half=same):
+                unite(label, rank[i], rank[j + shift])
             moved = np.nonzero(label != np.arange(len(ids)))[0]
-            out.append(_links(ids[order], moved, label[moved], False))
-            if cored and fringe:
-                x, y = np.concatenate(fringe, axis=1)
-                touch = np.unique(np.stack([x, label[y]]), axis=1)
-                out.append(_links(ids[order], touch[0], touch[1], True))
-        return pa.concat_tables(out) if out else _empty("node", "root", border=pa.bool_())
-
-    found = tiles.rows.groupBy("tile").applyInArrow(run, "node string, root string, border boolean")
+            names = ids[order]
+            out.append(pa.table({"node": pa.array(names[moved], pa.string()), "root": pa.array(names[label[moved]], pa.string())}))
+        return pa.concat_tables(out) if out else _empty("node", "root")
+
+    found = tiles.rows.groupBy("tile").applyInArrow(run, "node string, root string")
     if tiles.links is not None:
-        found = found.unionByName(tiles.links.withColumn("border", F.lit(False)))
+        found = found.unionByName(tiles.links)
     return found, tiles.single
 
 
-def _links(ids: np.ndarray, node: np.ndarray, root: np.ndarray, border: bool) -> pa.Table:
-    return pa.table({"node": pa.array(ids[node], pa.string()), "root": pa.array(ids[root], pa.string()),
-                     "border": pa.array(np.full(len(node), border))})
-
-
 def _empty(*texts: str, **others: pa.DataType) -> pa.Table:
     columns = {t: pa.array([], pa.string()) for t in texts}
     columns.update({name: pa.array([], kind) for name, kind in others.items()})

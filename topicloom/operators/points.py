@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.categories import equal_shares, known, leading_shares
-from .kernel import Categories
+from ..session import prepare
+from .kernel import category_table
 
 #: Largest category vocabulary that is turned into a dense task-side matrix (18 MB).
 VOCABULARY = 1_500
@@ -45,7 +46,7 @@ def share_categories(table: DataFrame) -> Broadcast:
     The table grows with the vocabulary, not with the documents. A vocabulary above the bound
     raises; :func:`topicloom.functions.categories.with_category_distance` has no such bound.
     """
-    spark = table.sparkSession
+    spark = prepare(table.sparkSession)
     limit = VOCABULARY * (VOCABULARY + 1) // 2
     rows = table.select("first_category", "second_category", "distance").limit(limit + 1).toPandas()
     if rows.empty:
@@ -59,4 +60,4 @@ def share_categories(table: DataFrame) -> Broadcast:
     matrix = np.full((len(names), len(names)), np.nan)
     matrix[i, j] = rows.distance
     matrix[j, i] = rows.distance
-    return spark.sparkContext.broadcast(Categories(names, matrix))
+    return spark.sparkContext.broadcast(category_table(names, matrix))

@@ -31,6 +31,16 @@ def scratch_root(spark: SparkSession) -> str:
     return _own_scratch[app]
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings the jobs rely on: adaptive plans that split skewed join partitions even
+    when the next step groups by the same key, and dates in UTC."""
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the scratch folder and read it back with its lineage cut.
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import prepare
+
 DOC_FEED = """
 with k as (
   select doc_id, lang, split_part(text, chr(10), 1) as title,
@@ -71,6 +73,7 @@ def _table(sf_dir: str, name: str) -> str:
 
 
 def doc_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return spark.sql(DOC_FEED.format(documents=_table(sf_dir, "documents"), embeddings=_table(sf_dir, "embeddings")))
 
 
@@ -79,4 +82,5 @@ def category_feed(spark: SparkSession) -> DataFrame:
 
 
 def cluster_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return spark.sql(CLUSTER_FEED.format(embeddings=_table(sf_dir, "embeddings")))
