@@ -8,6 +8,8 @@ hierarchy is built from the tree's edges in weight order, in batches of bounded
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -168,54 +170,55 @@ def _merge_batch(table: pa.Table) -> pa.Table:
 
     A component of two or more points is an open cluster: ``fall`` sums the levels (inverse
     distances) at which its points leave it, ``best`` is the stability its descendants reach (NULL
-    without any). When two open clusters meet both are closed. Emits the changed component states,
-    the component moves, the closed clusters and the points that leave a cluster.
+    without any). Edges of equal weight act together. Where they join two or more open clusters,
+    these are closed and a new one opens; otherwise the single points join the open one. Emits the
+    changed component states, the moves, the closed clusters and the points that leave a cluster.
     """
     rows = table.to_pylist()
-    state = {r["comp"]: [r["size"], r["fall"], r["best"], r["node"]] for r in rows if r["kind"] == "comp"}
-    edges = sorted((r for r in rows if r["kind"] == "edge"), key=lambda r: (r["fall"], r["node"], r["target"]))
     part = rows[0]["part"]
+    state = {r["comp"]: [r["size"], r["fall"], r["best"], r["node"]] for r in rows if r["kind"] == "comp"}
+    edges = sorted((r["fall"], f"{r['node']}|{r['target']}", r["comp"], r["extra"]) for r in rows if r["kind"] == "edge")
     parent: dict[str, str] = {}
     out: list[dict] = []
 
     def find(c: str) -> str:
         path = []
-        while parent.get(c, c) != c:
+        while parent.setdefault(c, c) != c:
             path.append(c)
             c = parent[c]
         for p in path:
             parent[p] = c
         return c
 
-    def close(s: list, level: float, into: str) -> float:
-        stability = s[1] - s[0] * level
-        chosen = s[2] is None or stability >= s[2]
-        out.append(dict(kind="node", node=s[3], target=into, chosen=chosen))
-        return stability if chosen else s[2]
-
-    for e in edges:
-        x, y = find(e["comp"]), find(e["extra"])
-        if x == y:
-            continue
-        level = 1.0 / max(e["fall"], FLOOR)
-        a, b = state.pop(x, None), state.pop(y, None)
-        z = min(x, y)
-        parent[x] = parent[y] = z
-        name = f"{e['node']}|{e['target']}"
-        if a is None and b is None:
-            state[z] = [2, 2 * level, None, name]
-            out += [dict(kind="point", comp=x, node=name), dict(kind="point", comp=y, node=name)]
-        elif a is None or b is None:
-            s, single = (b, x) if a is None else (a, y)
-            state[z] = [s[0] + 1, s[1] + level, s[2], s[3]]
-            out.append(dict(kind="point", comp=single, node=s[3]))
-        else:
-            n = a[0] + b[0]
-            state[z] = [n, n * level, close(a, level, name) + close(b, level, name), name]
-    for c in parent:
-        out.append(dict(kind="move", comp=c, target=find(c)))
-    for c, s in state.items():
-        out.append(dict(kind="comp", comp=c, size=s[0], fall=s[1], best=s[2], node=s[3]))
+    for weight, together in groupby(edges, key=lambda e: e[0]):
+        level = 1.0 / max(weight, FLOOR)
+        joined: dict[str, tuple[list[str], str]] = {}
+        for _, name, x, y in together:
+            x, y = find(x), find(y)
+            if x == y:
+                continue
+            few, many = sorted((joined.pop(c, ([c], name)) for c in (x, y)), key=lambda m: len(m[0]))
+            many[0].extend(few[0])
+            parent[x] = parent[y] = min(x, y)
+            joined[min(x, y)] = (many[0], min(few[1], many[1]))
+        for z, (members, name) in joined.items():
+            open_ = [(m, state.pop(m)) for m in sorted(members) if m in state]
+            singles = [m for m in members if m not in {c for c, _ in open_}]
+            size = len(singles) + sum(s[0] for _, s in open_)
+            if len(open_) == 1:
+                _, (old, fall, best, node) = open_[0]
+                state[z] = [size, fall + (size - old) * level, best, node]
+            else:
+                best, node = None, name
+                for _, (n, fall, below, inner) in open_:
+                    stability = fall - n * level
+                    chosen = below is None or stability >= below
+                    best = (best or 0.0) + (stability if chosen else below)
+                    out.append(dict(kind="node", node=inner, target=node, chosen=chosen))
+                state[z] = [size, size * level, best, node]
+            out += [dict(kind="point", comp=m, node=node) for m in singles]
+    out += [dict(kind="move", comp=c, target=find(c)) for c in list(parent)]
+    out += [dict(kind="comp", comp=c, size=s[0], fall=s[1], best=s[2], node=s[3]) for c, s in state.items()]
     schema = pa.schema([("kind", pa.string()), ("part", pa.string()), ("comp", pa.string()), ("size", pa.int64()),
                         ("fall", pa.float64()), ("best", pa.float64()), ("node", pa.string()),
                         ("target", pa.string()), ("chosen", pa.bool_())])
@@ -224,51 +227,66 @@ def _merge_batch(table: pa.Table) -> pa.Table:
 
 def hierarchy_labels(tree: DataFrame, batch_edges: int = BATCH_EDGES) -> DataFrame:
     """Clusters of a spanning tree by excess of mass, smallest cluster two points:
-    ``(part, id, node)`` of clustered points. The part as a whole is never a cluster."""
-    biggest = tree.groupBy("part").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    ``(part, id, node)`` of clustered points. The part as a whole is never a cluster.
+
+    Copies (distance 0) become one component with joins first, whatever their number. The other
+    edges run in weight order, ``batch_edges`` of a part at a time.
+    """
+    copies = tree.where(F.col("w") <= FLOOR)
+    edges = tree.where(F.col("w") > FLOOR)
+    biggest = edges.groupBy("part").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if biggest <= batch_edges:
-        edges = tree.withColumn("batch", F.lit(0))
+        edges = edges.withColumn("batch", F.lit(0))
     else:
-        keyed = tree.withColumn("key", F.struct("w", "u", "v"))
-        edges = number_within(keyed, "part", "key", "o").select(
-            "part", "key.*", F.floor(F.col("o") / batch_edges).cast("int").alias("batch"))
+        ranked = number_within(edges.withColumn("key", F.struct("w", "u", "v")), "part", "key", "o").select("part", "key.*", "o")
+        first = ranked.groupBy("part", "w").agg(F.min("o").alias("f"))
+        edges = ranked.join(first, ["part", "w"]).select("part", "u", "v", "w", F.floor(F.col("f") / batch_edges).cast("int").alias("batch"))
     edges = cut(edges, "edges")
-    batches = max(1, -(-biggest // batch_edges))
+
     comps, states, done = None, None, []
+    if not is_empty(copies):
+        comps = cut(connected_components(copies).select("id", F.col("root").alias("comp"))
+                    .join(copies.select(F.explode(F.array("u", "v")).alias("id"), "part").distinct(), "id"), "copies")
+        node = F.concat(F.lit("copies|"), F.col("comp")).alias("node")
+        n = F.count(F.lit(1))
+        states = cut(comps.groupBy("part", "comp").agg(n.alias("size"), (n / FLOOR).alias("fall")).select(
+            "part", "comp", "size", "fall", F.lit(None).cast("double").alias("best"), node), "states")
+        done.append(comps.select(F.lit("point").alias("kind"), "part", F.col("id").alias("comp"), node,
+                                 F.lit(None).cast("string").alias("target"), F.lit(None).cast("boolean").alias("chosen")))
+        comps = comps.select("id", "comp")
+    batches = -(-biggest // batch_edges)
     for b in range(batches):
-        now = edges.where(F.col("batch") == b)
-        if comps is None:
-            ends = now.withColumn("x", F.col("u")).withColumn("y", F.col("v"))
-        else:
-            ends = (now.join(comps.select(F.col("id").alias("u"), F.col("comp").alias("x")), "u", "left")
-                    .join(comps.select(F.col("id").alias("v"), F.col("comp").alias("y")), "v", "left")
-                    .withColumn("x", F.coalesce("x", "u")).withColumn("y", F.coalesce("y", "v")))
+        ends = edges.where(F.col("batch") == b).withColumn("x", F.col("u")).withColumn("y", F.col("v"))
+        if comps is not None:
+            for end, at in (("u", "x"), ("v", "y")):
+                ends = (ends.join(comps.select(F.col("id").alias(end), F.col("comp").alias("__c")), end, "left")
+                        .withColumn(at, F.coalesce("__c", at)).drop("__c"))
         group = ends.select(F.lit("edge").alias("kind"), "part", F.col("x").alias("comp"), F.lit(None).cast("long").alias("size"),
                             F.col("w").alias("fall"), F.lit(None).cast("double").alias("best"), F.col("u").alias("node"),
                             F.col("v").alias("target"), F.col("y").alias("extra"))
         if states is not None:
-            touched = ends.select(F.col("x").alias("comp")).unionByName(ends.select(F.col("y").alias("comp"))).distinct()
+            touched = ends.select(F.explode(F.array("x", "y")).alias("comp")).distinct()
             group = group.unionByName(states.join(touched, "comp", "left_semi").withColumn("kind", F.lit("comp")),
                                       allowMissingColumns=True)
         step = cut(group.groupBy("part").applyInArrow(_merge_batch, _STEP), "merge")
-        done.append(step.where("kind in ('node', 'point')"))
-        fresh = step.where("kind = 'comp'").select("part", "comp", "size", "fall", "best", "node")
-        moves = step.where("kind = 'move'").select("comp", F.col("target").alias("to"))
+        done.append(step.where("kind in ('node', 'point')").select("kind", "part", "comp", "node", "target", "chosen"))
         if b + 1 == batches:
             break
-        states = fresh if states is None else cut(states.join(moves, "comp", "left_anti").unionByName(fresh), "states")
+        fresh = step.where("kind = 'comp'").select("part", "comp", "size", "fall", "best", "node")
+        moves = step.where("kind = 'move'").select("comp", F.col("target").alias("to"))
+        states = fresh if states is None else states.join(moves, "comp", "left_anti").unionByName(fresh)
+        states = cut(states, "states")
         known = moves.select(F.col("comp").alias("id"), F.col("to").alias("comp"))
         if comps is not None:
             older = comps.join(moves, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp"))
             known = older.unionByName(known.join(comps, "id", "left_anti"))
         comps = cut(known, "comps")
-    events = done[0]
-    for more in done[1:]:
-        events = events.unionByName(more)
-    nodes = events.where("kind = 'node'").select("node", F.col("target").alias("up"), "chosen")
-    top = _topmost(nodes)
-    fell = events.where("kind = 'point'").select("part", F.col("comp").alias("id"), "node")
-    return fell.join(top, "node").select("part", "id", F.col("top").alias("node"))
+    if not done:
+        return tree.select("part", F.col("u").alias("id"), F.col("v").alias("node")).limit(0)
+    events = reduce(DataFrame.unionByName, done)
+    top = _topmost(events.where("kind = 'node'").select("node", F.col("target").alias("up"), "chosen"))
+    return (events.where("kind = 'point'").select("part", F.col("comp").alias("id"), "node")
+            .join(top, "node").select("part", "id", F.col("top").alias("node")))
 
 
 def _topmost(nodes: DataFrame) -> DataFrame:
