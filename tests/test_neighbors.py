@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from topicloom.operators.assign import Rule, best_matches
 from topicloom.operators.components import connected_components
 from topicloom.operators.dbscan import dbscan
-from topicloom.operators.neighbors import degrees, eps_edges, links, place
+from topicloom.operators.neighbors import copy_edges, degrees, distinct_points, eps_edges, links, neighbor_counts, place
 from topicloom.operators.ordinal import number_keys, number_within
 from topicloom.operators.points import share_categories
 from topicloom.settings import Metric
@@ -95,7 +95,18 @@ def test_degrees(spark, categories, truth, sizes):
     for i, j in near:
         counts[ids[i]] += 1
         counts[ids[j]] += 1
-    assert {r.id: r.n for r in degrees(frame(spark, ids, parts, x, cats), METRIC, EPS, categories, **sizes).collect()} == counts
+    points = frame(spark, ids, parts, x, cats)
+    assert {r.id: r.n for r in degrees(points, METRIC, EPS, categories, **sizes).collect()} == counts
+    assert {r.id: r.n for r in neighbor_counts(points, METRIC, EPS, categories, **sizes).collect()} == counts
+
+
+def test_copies_are_not_paired(spark, categories, truth):
+    ids, parts, x, cats, near = truth
+    points = frame(spark, ids, parts, x, cats)
+    third = len(ids) // 3
+    assert distinct_points(points).where(F.col("copies") == third).first()["id"] == ids[0]
+    found = copy_edges(points, METRIC, EPS, categories).collect()
+    assert sum(r.src_copies * r.dst_copies for r in found) == len(near) - third * (third - 1) // 2
 
 
 @pytest.mark.parametrize("k", [2, 3, 5])

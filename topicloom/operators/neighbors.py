@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from ..settings import DIGITS, Metric
-from .kernel import Block, unite, within
+from .kernel import Block, category_terms, exact, unite, within
 
 BLOCK_ROWS = 2_048
 #: Parts of more blocks than this get anchors.
@@ -257,22 +257,53 @@ def _own_distance_edges(points, metric, eps, categories, distance, **sizes) -> D
             .where(F.col("distance") <= eps).select("part", "src", "dst", "distance"))
 
 
+def distinct_points(points: DataFrame) -> DataFrame:
+    """One row per distinct point: the smallest id and the number of ``copies``. Copies are combined
+    before the shuffle, so a point with a third of all rows costs one row per task."""
+    keys = [c for c in points.columns if c != "id"]
+    return points.groupBy(*keys).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+
+
+def copy_edges(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, **sizes) -> DataFrame:
+    """Edges between distinct points with the number of copies at either end: the whole ε-graph
+    without its pairs of copies: ``(part, src, dst, distance, src_copies, dst_copies)``."""
+    unique = cut(distinct_points(points), "distinct")
+    found = eps_edges(unique.drop("copies"), metric, eps, categories, **sizes)
+    for end in ("src", "dst"):
+        found = found.join(unique.select(F.col("id").alias(end), F.col("copies").alias(f"{end}_copies")), end)
+    return found.select("part", "src", "dst", "distance", "src_copies", "dst_copies")
+
+
+def neighbor_counts(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, **sizes) -> DataFrame:
+    """``(part, id, n)`` as :func:`degrees`, but copies are counted once and then handed their count."""
+    unique = cut(distinct_points(points), "distinct")
+    counted = unique.join(degrees(unique, metric, eps, categories, **sizes), ["part", "id"])
+    keys = [c for c in points.columns if c != "id"]
+    return points.join(counted.select(*keys, "n"), keys).select("part", "id", "n")
+
+
 def degrees(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, **sizes) -> DataFrame:
-    """``(part, id, n)``: neighbours within eps of every point, itself included. One row per
-    point leaves each tile, never one per pair."""
+    """``(part, id, n)``: neighbours within eps of every point, itself included; a column ``copies``
+    tells how often each point counts. One row per point leaves each tile, never one per pair."""
     tiles = place(points, metric, eps, categories, connect=False, **sizes)
 
     def run(table: pa.Table) -> pa.Table:
         out = []
-        for part, a, b, same, _, _ in _blocks(table, metric):
-            n, m = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        for part, a, b, same, left, right in _blocks(table, metric):
+            n, m = np.zeros(len(a)), np.zeros(len(b))
+            x, y = _copies(left), _copies(right)
             for i, j, _ in within(a, b, metric, categories.value, eps, half=same):
-                n += np.bincount(i, minlength=len(a))
-                m += np.bincount(j, minlength=len(b))
-            sides = [(a.ids, n + m + 1)] if same else [(a.ids, n), (b.ids, m)]
+                n += np.bincount(i, weights=y[j], minlength=len(a))
+                m += np.bincount(j, weights=x[i], minlength=len(b))
+            if same:
+                # the point itself, and its copies if they are within eps of each other
+                every = np.arange(len(a))
+                terms = category_terms(a, a, metric, categories.value)
+                n += m + np.where(exact(a, a, every, every, metric, terms) <= eps, x, 1)
+            sides = [(a.ids, n)] if same else [(a.ids, n), (b.ids, m)]
             for ids, count in sides:
                 out.append(pa.table({"part": pa.array([part] * len(ids), pa.string()),
-                                     "id": pa.array(ids, pa.string()), "n": pa.array(count, pa.int64())}))
+                                     "id": pa.array(ids, pa.string()), "n": pa.array(count.astype(np.int64), pa.int64())}))
         return pa.concat_tables(out) if out else _empty("part", "id", n=pa.int64())
 
     partial = tiles.rows.groupBy("tile").applyInArrow(run, "part string, id string, n long")
@@ -370,6 +401,10 @@ def links(points: DataFrame, metric: Metric, eps: float, categories: Broadcast,
     return found, tiles.single
 
 
+def _copies(table: pa.Table) -> np.ndarray:
+    return table.column("copies").to_numpy() if "copies" in table.column_names else np.ones(table.num_rows)
+
+
 def _empty(*texts: str, **others: pa.DataType) -> pa.Table:
     columns = {t: pa.array([], pa.string()) for t in texts}
     columns.update({name: pa.array([], kind) for name, kind in others.items()})

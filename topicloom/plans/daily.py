@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ from ..operators.labels import (community_labels_from_responses, community_promp
 from ..operators.layers import create_communities, first_layer, second_layer, split_clusters, split_communities
 from ..operators.points import share_categories
 from ..operators.profile import category_profile, central_documents, centroids, profiles
-from ..session import cut, is_empty
+from ..session import cut, is_empty, prepare, scratch_scope
+from ..settings import TTL_DAYS
 from ..sinks.store import Store
 from ..sources.tables import (backlog, cluster_documents, cluster_titles, daily_documents, hydrated_communities,
                               live_clusters, live_links, require_complete, require_unique, with_sizes)
@@ -51,6 +53,16 @@ def _moved(rows: DataFrame, moves: DataFrame) -> DataFrame:
             .withColumn("cluster", F.coalesce("new", "cluster")).drop("new"))
 
 
+def _scoped(job):
+    """Drop the job's scratch tables when it ends."""
+    @wraps(job)
+    def run(store: Store, *args, **kwargs):
+        with scratch_scope(prepare(store.spark)):
+            return job(store, *args, **kwargs)
+    return run
+
+
+@_scoped
 def daily_clusters(store: Store, docs: DataFrame, ref_date: dt.date | str, *, responses: DataFrame | None = None,
                    pick: str = "nearest", use_borders: bool = True, **sizes) -> DailyResult:
     """Cluster the documents of ``ref_date`` and the backlog, and publish the changed tables.
@@ -61,8 +73,11 @@ def daily_clusters(store: Store, docs: DataFrame, ref_date: dt.date | str, *, re
     day = reference_date(ref_date)
     table = store.read("categories_distances")
     shared = share_categories(table)
-    assigned = store.read("clusterized_docs")
-    bodies = docs.withColumn("timestamp", F.to_date("date_created")).select(*BODY)
+    # A cluster is as old as its oldest document, so documents of live clusters and of the backlog
+    # lie inside the time to live: older files of both tables are skipped.
+    oldest = F.lit(day - dt.timedelta(days=TTL_DAYS))
+    assigned = store.read("clusterized_docs").where(F.col("timestamp") > oldest)
+    bodies = docs.where(F.col("date_created") > oldest).withColumn("timestamp", F.to_date("date_created")).select(*BODY)
 
     # live clusters with their documents; profiles follow from the documents
     live = live_clusters(store.read("clusters"), day).where(~is_noise(F.col("cluster_id")))
@@ -79,7 +94,7 @@ def daily_clusters(store: Store, docs: DataFrame, ref_date: dt.date | str, *, re
     left_over = backlog(assigned, bodies, day).withColumnRenamed("cluster_id", "cluster")
     batch = cut(with_age(merge_batch(new_docs, left_over), day), "batch")
     if is_empty(batch):
-        return DailyResult(assigned, store.read("clusters"))
+        return DailyResult(store.read("clusterized_docs"), store.read("clusters"))
 
     # first layer, its oversized clusters, second layer, its oversized clusters
     body = batch.drop("cluster")
@@ -135,6 +150,7 @@ def clean_communities(store: Store, day: dt.date) -> None:
     store.delete("communities", drop, ["community_id"])
 
 
+@_scoped
 def daily_communities(store: Store, docs: DataFrame, ref_date: dt.date | str, *,
                       responses: DataFrame | None = None, **sizes) -> CommunityResult:
     """Group live clusters into communities and publish links and communities.
@@ -167,7 +183,9 @@ def daily_communities(store: Store, docs: DataFrame, ref_date: dt.date | str, *,
 
     rows = cut(community_links(placed, day), "link-rows")
     communities = roll_up(placed, rows)
-    titles = (cluster_titles(assigned, docs, placed).join(rows.select("cluster_id", "community_id"), "cluster_id"))
+    # the clusters are live, hence their documents recent
+    recent = docs.where(F.col("date_created") >= F.lit(day - dt.timedelta(days=TTL_DAYS)))
+    titles = (cluster_titles(assigned, recent, placed).join(rows.select("cluster_id", "community_id"), "cluster_id"))
     single = (rows.where("unclusterized").join(placed.select("cluster_id", "cluster_label", "tags"), "cluster_id")
               .select("community_id", F.col("cluster_label").alias("__own"), "tags"))
     if responses is not None:

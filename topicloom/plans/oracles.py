@@ -300,7 +300,10 @@ for _name, _metric in (("doc_distance_m1", _m1("f", "h")), ("doc_distance_m2", _
 
 _L1 = _edges(_m1("a", "b"), 0.53)
 ORACLES |= {
-    "eps_edges_m1": _with(DOCS, CATS, KD, _L1) + "select src, dst, d as distance from edges",
+    "eps_edges_m1": _with(DOCS, CATS, KD, """one as materialized (
+        select min(url) as url, any_value(te) as te, any_value(co) as co, any_value(ck) as ck, count(*) as n from feed group by te, co, ck)""",
+        _edges(_m1("a", "b"), 0.53, "one")) + """select src, dst, d as distance, x.n as src_copies, y.n as dst_copies
+        from edges join one x on x.url = src join one y on y.url = dst""",
     "own_distance_edges": _with(DOCS) + """select src, dst, d as distance from (
         select a.url as src, b.url as dst,
           round(case when a.ck = b.ck then list_distance(a.te, b.te) * 0.9 else list_distance(a.te, b.te) end, 9) as d

@@ -261,8 +261,8 @@ def parse_community_label(spark, sf):
 # -- clustering --------------------------------------------------------------------------------------
 
 def eps_edges_m1(spark, sf):
-    found = neighbors.eps_edges(doc_points(doc_feed(spark, sf)), DOC_TITLE, EPS_DOC_TITLE, share_categories(category_feed(spark)))
-    return found.select("src", "dst", "distance")
+    found = neighbors.copy_edges(doc_points(doc_feed(spark, sf)), DOC_TITLE, EPS_DOC_TITLE, share_categories(category_feed(spark)))
+    return found.drop("part")
 
 
 def own_distance_edges(spark, sf):
@@ -276,7 +276,7 @@ def own_distance_edges(spark, sf):
 
 
 def neighbor_counts(spark, sf):
-    found = neighbors.degrees(doc_points(doc_feed(spark, sf)), DOC_TITLE, EPS_DOC_TITLE, share_categories(category_feed(spark)))
+    found = neighbors.neighbor_counts(doc_points(doc_feed(spark, sf)), DOC_TITLE, EPS_DOC_TITLE, share_categories(category_feed(spark)))
     return found.select(F.col("id").alias("url"), "n")
 
 

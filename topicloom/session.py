@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,7 @@ BROADCAST_ROWS = 20_000
 BROADCAST_VALUES = 8_000_000
 
 _own_scratch: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -49,10 +51,27 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/topicloom/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the tables that :func:`cut` wrote inside the block. Nothing that leaves the block may
+    read them; the jobs return their result tables."""
+    mine: list[str] = []
+    _scopes.append(mine)
+    try:
+        yield
+    finally:
+        _scopes.remove(mine)
+        for name in mine:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def is_empty(df: DataFrame) -> bool:
     return len(df.limit(1).take(1)) == 0
 
