@@ -14,12 +14,13 @@ MOVES = 4
 def connected_components(links: DataFrame) -> DataFrame:
     """``(u, v)`` links to ``(id, root)``, where root is the smallest id of the component.
 
-    Each round points every vertex at its best neighbour (or itself), jumps once along those
-    pointers and replaces the links by links between the pointers. "Best" is the smallest id in the
-    first round, which settles star-shaped links at once, and a new random order in later rounds,
-    so that a constant share of the vertices disappears even on long chains. Neighbours are reduced
-    with ``min``, which combines before the shuffle: a hub with a third of all links is never
-    gathered in one place. Round tables are written, not kept as lineage.
+    Each round points every vertex at its best neighbour (or itself), then at the best pointer among
+    its neighbours, and replaces the links by links between those vertices. The second hop lets all
+    leaves of a hub meet in one round. "Best" is the smallest id in the first round, which settles
+    star-shaped links at once, and a new random order in later rounds, so that a constant share of
+    the vertices disappears even on long chains. Neighbours are reduced with ``min``, which combines
+    before the shuffle: a hub with a third of all links is never gathered in one place. Round tables
+    are written, not kept as lineage.
     """
     links = links.where("u <> v").select("u", "v")
     moves: list[DataFrame] = []
@@ -30,8 +31,10 @@ def connected_components(links: DataFrame) -> DataFrame:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = (both.groupBy("u").agg(F.min(rank("v")).alias("m"))
                .select("u", F.least("m", rank("u"))["x"].alias("p")))
+        far = (both.join(low.select(F.col("u").alias("v"), "p"), "v").groupBy("u").agg(F.min(rank("p")).alias("m"))
+               .select("u", F.col("m.x").alias("p")))
         up = low.select(F.col("u").alias("p"), F.col("p").alias("q"))
-        step = cut(low.join(up, "p").select("u", F.col("q").alias("p")), "cc-step")
+        step = cut(far.join(up, "p").select("u", F.col("q").alias("p")), "cc-step")
         moves.append(step)
         links = cut(links.join(step, "u").select(F.col("p").alias("u"), "v")
                     .join(step.select(F.col("u").alias("v"), F.col("p").alias("q")), "v")

@@ -32,7 +32,10 @@ from ..session import cut
 from ..settings import DIGITS, Metric
 from .kernel import Block, category_terms, exact, unite, within
 
-BLOCK_ROWS = 2_048
+#: Rows of a block: the larger the blocks, the fewer copies of a row are shuffled; the bound keeps a
+#: task at two blocks of moderate size. Small tables use small blocks to have tiles for all cores.
+BLOCK_ROWS, LARGE_BLOCK_ROWS = 2_048, 16_384
+BLOCK_VALUES = 4_000_000
 #: Parts of more blocks than this get anchors.
 ANCHOR_BLOCKS = 8
 #: Anchors grow with the blocks of the table up to a bound that keeps their statistics small.
@@ -54,12 +57,22 @@ class Tiles:
 
 # -- placing points ----------------------------------------------------------------------------
 
+def block_size(points: DataFrame, metric: Metric, rows: int) -> int:
+    """Rows per block for a table whose largest part has ``rows`` rows."""
+    wanted = min(LARGE_BLOCK_ROWS, rows // 64)
+    if wanted <= BLOCK_ROWS:
+        return BLOCK_ROWS
+    width = points.select(sum((F.size(c) for c in metric.columns), F.lit(0))).first()[0]
+    return max(256, min(wanted, BLOCK_VALUES // max(1, width)))
+
+
 def place(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, *, connect: bool,
-          block_rows: int = BLOCK_ROWS, anchor_blocks: int = ANCHOR_BLOCKS) -> Tiles:
+          block_rows: int | None = None, anchor_blocks: int = ANCHOR_BLOCKS) -> Tiles:
     """Replicate points to the tiles they must be compared in. With ``connect`` solid groups are
     left out and their links returned."""
     sizes = points.groupBy("part").agg(F.count(F.lit(1)).alias("__n"))
     total, biggest = sizes.agg(F.sum("__n"), F.max("__n")).first()
+    block_rows = block_rows or block_size(points, metric, biggest or 0)
     bins = max(1, math.ceil((total or 0) / block_rows))
     packed = F.concat(F.lit("p"), F.pmod(F.xxhash64("part"), F.lit(bins)))
     if not total or biggest <= block_rows:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import is_noise, reference_date
 from ..operators.assign import append_to_communities, assign_documents, choose_clusters
-from ..operators.batch import (cluster_rows, corpus, document_rows, keep_first, merge_batch, orphans, with_age,
+from ..operators.batch import (cluster_rows, corpus, document_rows, merge_batch, orphans, with_age,
                                with_layer_flags)
 from ..operators.communities import community_links, community_tags, roll_up, stale_links
 from ..operators.hierarchy import split_outliers
@@ -37,14 +37,19 @@ class DailyResult:
     clusters: DataFrame
 
 
+def sorted_pairs(pairs: DataFrame) -> DataFrame:
+    """``(first_category, second_category, distance)`` with each pair once, in sorted order and with
+    its smallest distance."""
+    low, high = F.least("first_category", "second_category"), F.greatest("first_category", "second_category")
+    return (pairs.groupBy(low.alias("first_category"), high.alias("second_category"))
+            .agg(F.min("distance").alias("distance")))
+
+
 def ingest_categories(store: Store, pairs: DataFrame, reset: bool = False) -> DataFrame:
-    """Load ``(first_category, second_category, distance)``; each pair is stored in sorted order and
-    gets a stable id."""
+    """Load category distances; the id of a pair follows from its names."""
     store.create("categories_distances", reset)
-    low, high = F.least("first_category", "second_category"), F.greatest("first_category", "second_category")
-    rows = keep_first(pairs.select(low.alias("first_category"), high.alias("second_category"), "distance")
-                      .withColumn("pair", F.concat_ws("\u0001", "first_category", "second_category")), "pair", "distance")
-    return store.upsert("categories_distances", rows.withColumn("id", F.xxhash64("pair")).drop("pair"))
+    return store.upsert("categories_distances", sorted_pairs(pairs).withColumn(
+        "id", F.xxhash64("first_category", "second_category")))
 
 
 def _moved(rows: DataFrame, moves: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ cmean as (
   group by community_id),
 hyd as (
   select community_id, ctop.top, ctop.share, cmean.ce, sz.size from ctop join cmean using (community_id)
-  join (select community_id, sum(size) as size from mem group by community_id) sz using (community_id))"""
+  join (select community_id, cast(sum(size) as bigint) as size from mem group by community_id) sz using (community_id))"""
 
 ROLLED = """rl as (
   select cluster_id, case when g % 6 = 5 then concat('2024-01-30_', sha256(concat('2024-01-30_', cluster_id)), '_', cluster_id)
@@ -405,7 +405,7 @@ ORACLES |= {
           concat('2024-01-30_', sha256(concat('2024-01-30_', co_k, '_', cast(sub as varchar))), '_', split_part(co_k, '_', -1), '.',
                  cast(sub as varchar)) end as new from lab"""),
     "community_rollup": _with(CLUSTERS, ROLLED) + """select community_id, base.size, base.ts as timestamp, base.n as clusters, t.top from
-        (select community_id, sum(size) as size, min(ts) as ts, count(*) as n from rl group by community_id) base
+        (select community_id, cast(sum(size) as bigint) as size, min(ts) as ts, count(*) as n from rl group by community_id) base
         join (select community_id, string_agg(c, '|' order by n desc, c) filter (rn <= 20) as top from (
           select *, row_number() over (partition by community_id order by n desc, c) as rn from (
             select community_id, c, count(*) as n from (select community_id, unnest(clist) as c from rl) group by all)) group by community_id) t using (community_id)""",
@@ -418,6 +418,8 @@ ORACLES |= {
     "upsert_docs": _with(DOCS) + """select url, topic as cluster_id, ts as timestamp, topic = 'cl_b-1' as unclusterized from feed where ts < date '2024-01-29'
         union all select url, case when doc_id % 3 <> 0 then concat('new_', cast(b as varchar)) end, date '2024-01-30', doc_id % 3 = 0
         from feed where ts >= date '2024-01-29'""",
+    "category_pairs": """select least(source, lang) as first_category, greatest(source, lang) as second_category,
+        round(1.0 / count(*), 6) as distance from documents group by source, lang""",
     "upsert_clusters_partial": _with(CLUSTERS) + """
         select cluster_id, case when g % 2 = 0 and k % 2 = 0 then 'renamed' else cluster_label end as cluster_label,
           case when g % 2 = 0 then date '2024-01-30' else ts end as timestamp, size,
@@ -427,8 +429,8 @@ ORACLES |= {
     "upsert_links": _with(CLUSTERS, LINKS, ROLLED) + """select cluster_id, community_id, ts as timestamp, unclusterized from rl
         union all select cluster_id, community_id, ts, unclusterized from ls where cluster_id not in (select cluster_id from rl)""",
     "upsert_communities": _with(CLUSTERS, LINKS, ROLLED, """
-        cur as (select ls.community_id, sum(cf.size) as size, min(cf.ts) as ts from ls join cf using (cluster_id) group by ls.community_id),
-        nw as (select community_id, sum(size) as size from rl group by community_id)""") + """
+        cur as (select ls.community_id, cast(sum(cf.size) as bigint) as size, min(cf.ts) as ts from ls join cf using (cluster_id) group by ls.community_id),
+        nw as (select community_id, cast(sum(size) as bigint) as size from rl group by community_id)""") + """
         select community_id, coalesce(nw.size, cur.size) as size, cur.ts as timestamp from cur full join nw using (community_id)""",
     "delete_stale": _with(CLUSTERS, LINKS) + "select cluster_id, community_id, ts as timestamp, unclusterized from ls where cluster_id in (select cluster_id from cf)",
     "cluster_prompt": _with(DOCS, """

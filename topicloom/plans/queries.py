@@ -9,16 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vectors
-from ..functions.categories import category_counts, leading_shares, with_category_distance, with_shared_category_term
+from ..functions.categories import leading_shares, with_category_distance, with_shared_category_term
 from ..functions.ids import id_day, id_label, is_noise, midnight, topic_id
 from ..functions.metrics import comparable, weighted
 from ..functions.responses import community_label, response_label, response_tags
 from ..operators import assign, batch, communities, hierarchy, labels, layers, neighbors, profile
 from ..operators.dbscan import dbscan
 from ..operators.ordinal import number_keys
-from ..operators.points import cluster_points, doc_points, share_categories
+from ..operators.points import doc_points, share_categories
 from ..session import scratch_root
-from ..settings import (CLUSTER_FLAT, CLUSTER_SHARED, DOC_CONTENT, DOC_SCHEMA, DOC_TITLE, EPS_CLUSTER_SHARED,
+from ..settings import (CLUSTER_FLAT, CLUSTER_SHARED, DOC_CONTENT, DOC_SCHEMA, DOC_TITLE,
                         EPS_DOC_TITLE)
 from ..sinks import store
 from ..sources import tables
@@ -444,6 +444,17 @@ def upsert_docs(spark, sf):
     return store.replace_rows(current, updates, ["url"])
 
 
+def category_pairs(spark, sf):
+    """Ingest form of pair distances measured on the documents: share of a language in a source."""
+    from .daily import sorted_pairs
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    by = docs.groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("m"))
+    pairs = by.select(F.when(F.col("m") % 2 == 0, F.col("source")).otherwise(F.col("lang")).alias("first_category"),
+                      F.when(F.col("m") % 2 == 0, F.col("lang")).otherwise(F.col("source")).alias("second_category"),
+                      (F.lit(1.0) / F.col("n")).alias("distance"))
+    return sorted_pairs(pairs).withColumn("distance", six(F.col("distance")))
+
+
 def upsert_clusters_partial(spark, sf):
     current = cluster_feed(spark, sf).select("cluster_id", "cluster_label", "timestamp", "size",
                                              F.col("centroid_embedding")[0].alias("head"))
@@ -550,7 +561,7 @@ QUERIES: dict[str, Query] = {
         parse_community_label, eps_edges_m1, own_distance_edges, neighbor_counts, dbscan_layer1, dbscan_layer2,
         split_clusters, centroids, central_docs, borders, profiles, cluster_rows, top_categories, category_shares,
         size_outliers, modal_layer, pick_best, append_communities, split_communities, community_rollup,
-        community_link_rows, community_tags, stale_links, upsert_docs, upsert_clusters_partial, upsert_links,
+        community_link_rows, community_tags, stale_links, upsert_docs, category_pairs, upsert_clusters_partial, upsert_links,
         upsert_communities, delete_stale, cluster_prompt, community_prompt, tfidf_labels, pca_2d, core_distances,
         density_hierarchy, outlier_split, daily_job, community_job)}
 QUERIES |= {
