@@ -109,8 +109,7 @@ def test_copies_are_not_paired(spark, categories, truth):
     assert sum(r.src_copies * r.dst_copies for r in found) == len(near) - third * (third - 1) // 2
 
 
-@pytest.mark.parametrize("k", [2, 3, 5])
-@pytest.mark.parametrize("sizes", PLACEMENTS)
+@pytest.mark.parametrize("k, sizes", [(2, PLACEMENTS[0]), (2, PLACEMENTS[1]), (2, PLACEMENTS[2]), (3, PLACEMENTS[2]), (5, PLACEMENTS[1])])
 def test_dbscan(spark, categories, truth, k, sizes):
     ids, parts, x, cats, near = truth
     found = dbscan(frame(spark, ids, parts, x, cats), METRIC, EPS, categories, k, **sizes).collect()

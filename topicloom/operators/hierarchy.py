@@ -117,7 +117,7 @@ def spanning_trees(points: DataFrame, metric: Metric, categories: Broadcast, **s
 
     def run(table: pa.Table) -> pa.Table:
         out = []
-        for part, a, b, same, left, right in _blocks(table, metric):
+        for part, a, b, same, left, right in _blocks(table, metric, ordered=True):
             n, shift = len(a), 0 if same else len(a)
             ids = a.ids if same else np.concatenate([a.ids, b.ids])
             core_a, core_b = left.column("core").to_numpy(), right.column("core").to_numpy()

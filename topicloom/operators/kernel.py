@@ -46,12 +46,15 @@ class Block:
     """Points of one task with their category lists reduced to distinct signatures."""
 
     def __init__(self, table: pa.Table, columns: list[str]):
-        self.ids = np.asarray(table.column("id").to_pylist(), dtype=object)
+        self.ids = table.column("id").to_numpy()
         self.vec = {c: vectors(table, c) for c in columns}
         self.sq = {c: np.einsum("ij,ij->i", v, v) for c, v in self.vec.items()}
         keys: dict[tuple, int] = {}
-        pairs = zip(table.column("cats").to_pylist(), table.column("shares").to_pylist())
-        self.sig = np.array([keys.setdefault((tuple(c), tuple(s)), len(keys)) for c, s in pairs], dtype=np.int64)
+        self.sig = np.zeros(len(self.ids), dtype=np.int64)
+        cats, shares = table.column("cats").to_pylist(), table.column("shares").to_pylist()
+        for row, (c, s) in enumerate(zip(cats, shares)):
+            self.sig[row] = keys.setdefault((*c, *s), len(keys))
+        keys = {(k[:len(k) // 2], k[len(k) // 2:]): row for k, row in keys.items()}
         self.names = sorted({n for c, _ in keys for n in c})
         at = {n: i for i, n in enumerate(self.names)}
         self.weights = np.zeros((len(keys), len(self.names)))

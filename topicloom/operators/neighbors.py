@@ -93,7 +93,7 @@ def place(points: DataFrame, metric: Metric, eps: float, categories: Broadcast,
             *points.columns, F.col("__t.tile").alias("tile"), F.col("__t.side").alias("side"))
         return Tiles(small_rows.unionByName(rows), None, False)
 
-    anchors = min(MANY_ANCHORS, max(FEW_ANCHORS, 4 * bins))
+    anchors = min(MANY_ANCHORS, max(FEW_ANCHORS, 8 * bins))
     rows, links = _place_by_anchors(points.join(large.select("part"), "part", "left_semi"), points.columns,
                                     metric, eps, categories, connect, block_rows, anchors)
     return Tiles(small_rows.unionByName(rows), links, False)
@@ -219,10 +219,12 @@ def place_across(left: DataFrame, right: DataFrame, block_rows: int = BLOCK_ROWS
 
 # -- inside a tile -----------------------------------------------------------------------------
 
-def _blocks(table: pa.Table, metric: Metric) -> Iterator[tuple[str, Block, Block, bool, pa.Table, pa.Table]]:
+def _blocks(table: pa.Table, metric: Metric, ordered: bool = False) -> Iterator[tuple[str, Block, Block, bool, pa.Table, pa.Table]]:
     """The pair of blocks of each part of a tile; a part of one block meets itself."""
-    for part in sorted(set(table.column("part").to_pylist())):
-        rows = table.filter(pc.equal(table.column("part"), part)).sort_by("id")
+    parts = sorted(pc.unique(table.column("part")).to_pylist())
+    for part in parts:
+        rows = table if len(parts) == 1 else table.filter(pc.equal(table.column("part"), part))
+        rows = rows.sort_by("id") if ordered else rows
         side = rows.column("side")
         if pc.all(pc.equal(side, BOTH)).as_py():
             block = Block(rows, metric.columns)
