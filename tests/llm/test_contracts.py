@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import brute
-from topicloom.llm import credentials, merkle, mixing, packing, quality, queries, simhash, tokens, toxicity
+from topicloom.llm import credentials, merkle, mixing, packing, quality, simhash, substring, suffixes, tokens, toxicity
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
                        T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
@@ -172,6 +172,61 @@ def test_simhash_triples():
     assert len(triples) == 20 and all(any(set(t) <= set(q) for t in triples) for q in combinations(range(8), 4))
 
 
+def test_suffix_array():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    texts = [b"", b"a", b"aa", b"abracadabra" * 9, b"mississippi", bytes(rng.integers(0, 3, 500, dtype=np.uint8)), bytes(200),
+             bytes(rng.integers(0, 200, 3_000, dtype=np.uint8)) * 3, b"ab" * 150 + b"ba" * 150]
+    for t in texts:
+        assert suffixes.suffix_array(np.frombuffer(t, np.uint8)).tolist() == sorted(range(len(t)), key=lambda i: t[i:])
+
+
+def test_repeated_strings(docs, rows):
+    raw = {d: (t or "").encode() for d, t in rows}
+    want = brute.removed(raw, 50)
+    for d, r in by_id(suffixes.remove_repeated_strings(docs)).items():
+        flags = want[d]
+        assert (r.n_bytes, r.n_removed, r.n_spans) == (len(raw[d]), sum(flags), brute.spans(flags)), d
+        assert bytes(r.kept) == bytes(b for b, f in zip(raw[d], flags) if not f)
+
+
+def test_repeated_windows(docs, rows):
+    words = {d: brute.W.findall(t or "") for d, t in rows}
+    want = brute.removed(words, 13)
+    for d, r in by_id(substring.remove_repeated_windows(docs)).items():
+        assert (r.n_words, r.n_removed, r.kept) == (len(words[d]), sum(want[d]), " ".join(w for w, f in zip(words[d], want[d]) if not f)), d
+
+
+@pytest.fixture(scope="module")
+def shared_passages(spark):
+    """Texts over few words, with passages that start and end at different places and stand in different surroundings."""
+    import random
+
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(40)]
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    out = []
+    for i in range(60):
+        a = rng.randint(0, 20)
+        own = [rng.choice(vocabulary) for _ in range(rng.randint(0, 40))]
+        out.append((1000 - i if i % 2 else i, " ".join(own + passage[a:a + rng.randint(10, 40)] + own[::-1] + ["ab"] * rng.choice([0, 0, 90]))))
+    return out
+
+
+def test_shared_passages(spark, shared_passages, monkeypatch):
+    docs = spark.createDataFrame(shared_passages, "doc_id long, text string")
+    words = {d: t.split() for d, t in shared_passages}
+    want = brute.removed(words, 13)
+    assert {d: r.n_removed for d, r in by_id(substring.remove_repeated_windows(docs)).items()} == {d: sum(f) for d, f in want.items()}
+    raw = {d: t.encode() for d, t in shared_passages}
+    want = {d: sum(f) for d, f in brute.removed(raw, 50).items()}
+    assert {d: r.n_removed for d, r in by_id(suffixes.remove_repeated_strings(docs)).items()} == want
+    monkeypatch.setattr(suffixes, "SHARD_KINDS", 3)
+    monkeypatch.setattr(suffixes, "SHARD_BYTES", 500)
+    assert {d: r.n_removed for d, r in by_id(suffixes.remove_repeated_strings(docs)).items()} == want
+
+
 def test_tokens(spark, docs, rows):
     import sentencepiece
 
@@ -268,6 +323,8 @@ OPERATORS = {
     "mixing": lambda d, s: mixing.mix(d),
     "mixed": lambda d, s: mixing.mixed_documents(d),
     "merkle": lambda d, s: merkle.edited_likeness(d),
+    "strings": lambda d, s: suffixes.remove_repeated_strings(d),
+    "windows": lambda d, s: substring.remove_repeated_windows(d),
     "simhash": lambda d, s: simhash.near_duplicates(d),
     "one_of_each": lambda d, s: simhash.one_of_each(d),
     "tokens": lambda d, s: tokens.count_tokens(d, public_tokenizers.path("piece_bpe_32k.model"), tokens.new_cache(s)),

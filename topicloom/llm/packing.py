@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -12,12 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, prepare
-from .common import whole
+from .common import slices, whole
 
 #: Pieces that one group holds on average; a group is packed by one task.
 GROUP_PIECES = 8_192
-#: Words whose ids a task remembers before it starts anew.
-CACHED_WORDS = 1_000_000
+#: Words, and words without case and closing marks, that are remembered before all are forgotten.
+CACHED_WORDS = 1_200_000
 #: Words handed to the tokenizer at a time.
 ENCODE_WORDS = 20_000
 
@@ -31,13 +34,17 @@ class WordIds:
     """
 
     def __init__(self, path: str):
+        # a task has one core; the library's own threads would compete with the other tasks
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
         self.words: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
+        # tasks of one worker share what the tokenizer has answered
+        kept = sys.modules.setdefault("topicloom_worker", types.ModuleType("topicloom_worker")).__dict__
+        self.cores: dict[bytes, bytes] = kept.setdefault(("cores", path), {})
 
     def _encode(self, cores: list[bytes]) -> None:
         for i in range(0, len(cores), ENCODE_WORDS):
@@ -63,16 +70,18 @@ class WordIds:
         for w, core, end in plan:
             self.words[w] = cores[core] + cores[end] if end else cores[core]
 
-    def __call__(self, text: str) -> bytes:
-        if len(self.words) + len(self.cores) > CACHED_WORDS:
+    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+        if len(self.words) > CACHED_WORDS:
             self.words.clear()
+        if len(self.cores) > CACHED_WORDS:
             self.cores.clear()
-        words = text.encode().split()
-        new = set(words).difference(self.words)
+        split = [t.encode().split() for t in texts]
+        new = set().union(*split).difference(self.words)
         if new:
             self.learn(new)
         known = self.words
-        return b"".join([known[w] for w in words])
+        for words in split:
+            yield b"".join([known[w] for w in words])
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, *, window: int, end_id: int, key: str, text: str) -> DataFrame:
@@ -85,8 +94,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, window: int, end_id: int, k
         step = 4 * window
         for batch in batches:
             row, start, length, crc, total = [], [], [], [], []
-            for i, t in enumerate(batch.column(1)):
-                body = ids(t.as_py()) + end
+            texts = batch.column(1).to_pylist()
+            for i, body in enumerate(body for a, b in slices(texts) for body in ids(texts[a:b])):
+                body += end
                 n = len(body) // 4
                 for at in range(0, len(body), step):
                     piece = body[at:at + step]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import credentials, merkle, mixing, packing, quality, simhash, tokens, toxicity
+from . import credentials, merkle, mixing, packing, quality, simhash, substring, suffixes, tokens, toxicity
 from .common import documents
 
 
@@ -32,6 +32,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeated_strings(documents(spark, sf_dir), window=50).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -55,12 +60,18 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
                                tokens.new_cache(spark), limit=4096).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op9_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeated_windows(documents(spark, sf_dir), window=13).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_secrets, op3_mixing, op5_toxicity, op6_merkle, op7_simhash, op8_tokens, op10_quality)
+    f.__name__: f for f in (op1_packing, op2_secrets, op3_mixing, op4_suffixes, op5_toxicity, op6_merkle,
+                               op7_simhash, op8_tokens, op9_windows, op10_quality)
 }
 ORACLES: dict[str, str] = {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
 from collections.abc import Iterator
 from importlib.metadata import version
@@ -33,6 +34,8 @@ def encoder(path: str):
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         return lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
+    # a task has one core; the library's own threads would compete with the other tasks
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path)
