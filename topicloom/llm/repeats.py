@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from ..session import cut
 from .common import slices
 
-#: Cells of each of the two sketch rows, by input, within these bounds: at most 128 MB of bits in all, whatever the
+#: Cells of each of the two sketch rows, by input, within these bounds: at most 64 MB of bits in all, whatever the
 #: input. Beyond it the sketch passes more fragments on to the exact groups; the result stays the same.
-MIN_CELLS, MAX_CELLS, ROWS = 1 << 22, 1 << 29, 2
+MIN_CELLS, MAX_CELLS, ROWS = 1 << 22, 1 << 28, 2
 CELLS_PER_FRAGMENT = 5
 #: Powers of two: cells of a chunk (16-bit numbers) and of a region, which one task merges.
 CHUNK, REGION = 16, 20
+#: Characters that are hashed together, few enough for the arrays to stay in a core's cache, and anchors that a
+#: task counts at a time.
+SLICE_CHARS, COUNTED = 120_000, 2_000_000
 #: Windows of a fragment at most; longer ones (periodic texts) are cut.
 MAX_RUN = 64
 #: Odd multipliers of the two hashes; any odd numbers will do.
@@ -190,7 +193,7 @@ class Finder:
             hashes = RangeHash(0)
             for batch in batches:
                 texts = batch.column(1).to_pylist()
-                for a, b in slices(texts):
+                for a, b in slices(texts, SLICE_CHARS):
                     items = Items(texts[a:b], words)
                     hashes.load(items.data)
                     yield batch.slice(a, b - a), texts[a:b], items, *items.runs(hashes, window, gram)
@@ -205,7 +208,7 @@ class Finder:
             found: list[np.ndarray] = []
             for *_, anchor in walk(batches):
                 found.append(anchor)
-                if sum(map(len, found)) > 4_000_000:
+                if sum(map(len, found)) > COUNTED:
                     anchors = np.concatenate(found)
                     found.clear()
                     for row in range(ROWS):
@@ -303,10 +306,10 @@ def repeated_ranges(finder: Finder, inner: Callable[[DataFrame], DataFrame], nam
 
     Equal fragments are reduced to their smallest key: under larger keys all their windows are repeated. Windows can
     also be shared by different fragments of one anchor; ``inner`` finds these among distinct fragments
-    ``(anchor, digest, low, content, kinds)``, each once however often it occurs.
+    ``(anchor, digest, low, content, kinds)``, each once however often it occurs. Texts are hashed three times, as
+    to write all fragments would take more room than the texts.
     """
-    found = cut(finder.fragments(finder.sketch()), f"{name}-fragments")
-    groups = cut(found.groupBy("anchor", "digest").agg(F.min("k").alias("low"), F.max("k").alias("high")), f"{name}-groups")
+    groups = cut(finder.fragments(finder.sketch()).groupBy("anchor", "digest").agg(F.min("k").alias("low"), F.max("k").alias("high")), f"{name}-groups")
     several = cut(groups.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("low").alias("a"), F.max("low").alias("b"))
                   .where("kinds > 1 and a < b").select("anchor", "kinds"), f"{name}-several")
     distinct = (finder.fragments(finder.bits_of(several), content=True).groupBy("anchor", "digest")
@@ -316,6 +319,7 @@ def repeated_ranges(finder: Finder, inner: Callable[[DataFrame], DataFrame], nam
     at, n = F.col("at").bitwiseAND(F.lit((1 << 32) - 1)), F.col("n").cast("long")
     all_ = F.array(F.struct(at.alias("a"), (at + n).alias("b")))
     some = F.transform(F.coalesce("offsets", F.array().cast("array<int>")), lambda o: F.struct((at + o).alias("a"), (at + o + 1).alias("b")))
+    found = finder.fragments(finder.bits_of(known))
     return (found.join(known, ["anchor", "digest"])
             .select("k", F.shiftrightunsigned("at", 32).alias("tag"), F.when(F.col("k") > F.col("low"), all_).otherwise(some).alias("r"))
             .where(F.size("r") > 0).groupBy("k", "tag").agg(F.flatten(F.collect_list("r")).alias("ranges")))

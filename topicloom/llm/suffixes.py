@@ -14,7 +14,7 @@ from .common import whole
 from .repeats import Finder, covered, repeated_ranges, windows_in_smaller
 
 #: Bytes of the grams that anchor a window, and of the text of one shard on average.
-GRAM, SHARD_BYTES = 32, 2_000_000
+GRAM, SHARD_BYTES = 24, 2_000_000
 #: Distinct fragments of one anchor that a shard takes; the windows of larger anchors are grouped by their hash.
 SHARD_KINDS = 4_096
 #: Bucket numbers up to which a reduced string is sorted by induction again; beyond it by doubling.
