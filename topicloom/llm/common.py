@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_root
+
 #: Words are maximal runs of characters outside this set (space, tab to carriage return).
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -47,3 +50,11 @@ def slices(texts: list[str], size: int = 1_000_000) -> Iterator[tuple[int, int]]
         held += len(t)
     if first < len(texts):
         yield first, len(texts)
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """Like :func:`cut`, for a table that outlives the scratch scope in which it is written."""
+    spark = df.sparkSession
+    path = f"{scratch_root(spark)}/topicloom/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
-from .common import slices
+from ..session import cut, scratch_scope
+from .common import settled, slices
 
 #: Cells of each of the two sketch rows, by input, within these bounds: at most 64 MB of bits in all, whatever the
 #: input. Beyond it the sketch passes more fragments on to the exact groups; the result stays the same.
@@ -309,13 +309,16 @@ def repeated_ranges(finder: Finder, inner: Callable[[DataFrame], DataFrame], nam
     ``(anchor, digest, low, content, kinds)``, each once however often it occurs. Texts are hashed three times, as
     to write all fragments would take more room than the texts.
     """
-    groups = cut(finder.fragments(finder.sketch()).groupBy("anchor", "digest").agg(F.min("k").alias("low"), F.max("k").alias("high")), f"{name}-groups")
-    several = cut(groups.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("low").alias("a"), F.max("low").alias("b"))
-                  .where("kinds > 1 and a < b").select("anchor", "kinds"), f"{name}-several")
-    distinct = (finder.fragments(finder.bits_of(several), content=True).groupBy("anchor", "digest")
-                .agg(F.min("k").alias("low"), F.first("content").alias("content")).join(several, "anchor"))
-    offsets = inner(cut(distinct, f"{name}-distinct"))
-    known = groups.join(offsets, ["anchor", "digest"], "left").where("low < high or offsets is not null")
+    with scratch_scope(finder.texts.sparkSession):
+        groups = cut(finder.fragments(finder.sketch()).groupBy("anchor", "digest").agg(F.min("k").alias("low"), F.max("k").alias("high")),
+                     f"{name}-groups")
+        several = cut(groups.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("low").alias("a"), F.max("low").alias("b"))
+                      .where("kinds > 1 and a < b").select("anchor", "kinds"), f"{name}-several")
+        distinct = (finder.fragments(finder.bits_of(several), content=True).groupBy("anchor", "digest")
+                    .agg(F.min("k").alias("low"), F.first("content").alias("content")).join(several, "anchor"))
+        offsets = inner(cut(distinct, f"{name}-distinct"))
+        known = settled(groups.join(offsets, ["anchor", "digest"], "left").where("low < high or offsets is not null")
+                        .select("anchor", "digest", "low", "offsets"), f"{name}-known")
     at, n = F.col("at").bitwiseAND(F.lit((1 << 32) - 1)), F.col("n").cast("long")
     all_ = F.array(F.struct(at.alias("a"), (at + n).alias("b")))
     some = F.transform(F.coalesce("offsets", F.array().cast("array<int>")), lambda o: F.struct((at + o).alias("a"), (at + o + 1).alias("b")))
@@ -325,6 +328,29 @@ def repeated_ranges(finder: Finder, inner: Callable[[DataFrame], DataFrame], nam
             .where(F.size("r") > 0).groupBy("k", "tag").agg(F.flatten(F.collect_list("r")).alias("ranges")))
 
 
+def with_ranges(finder: Finder, rows: DataFrame, ranges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` ``(key, k, t)`` that may have ranges, joined with them, and those that have none.
+
+    A bit per key of a text with ranges tells them apart, so that only texts which lose something move.
+    """
+    bits = finder.bits_of(ranges.select(F.xxhash64("k").alias("anchor")))
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+    rows = rows.select("key", "k", "t", F.xxhash64("k").alias("h"))
+
+    def only(wanted: bool) -> Callable:
+        def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits_ = shared.value
+            for b in batches:
+                h = b.column(3).to_numpy().view(np.uint64)
+                yield b.filter(pa.array(held(bits_, h) == wanted))
+
+        return walk
+
+    some, none = (rows.mapInArrow(only(w), rows.schema) for w in (True, False))
+    joined = (some.withColumn("tag", F.crc32(F.col("t").cast("binary"))).join(ranges, ["k", "tag"], "left").select("key", "t", "ranges"))
+    return joined, none.select("key", "t", F.lit(None).cast(ranges.schema["ranges"].dataType).alias("ranges"))
+
+
 def covered(n: int, ranges: list | None, window: int) -> np.ndarray:
     """Flags of the ``n`` items that lie in a repeated window."""
     if not ranges:

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from .common import whole
-from .repeats import Finder, covered, repeated_ranges, windows_in_smaller
+from .common import settled, whole
+from .repeats import Finder, covered, repeated_ranges, windows_in_smaller, with_ranges
 
 #: Words of the grams that anchor a window.
 GRAM = 6
@@ -31,7 +31,7 @@ def remove_repeated_windows(docs: DataFrame, *, window: int = 13, gram: int = GR
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(key).alias("key"), whole(text).alias("t"))
     finder = Finder(rows.where("k is not null").select("k", "t"), window, gram, words=True)
     ranges = repeated_ranges(finder, lambda d: windows_in_smaller(d, window, words=True), "windows")
-    marked = (rows.withColumn("tag", F.crc32(F.col("t").cast("binary"))).join(ranges, ["k", "tag"], "left").select("key", "t", "ranges"))
+    parts = with_ranges(finder, rows, settled(ranges, "windows-ranges"))
     key_type = dict(docs.dtypes)[key]
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,4 +46,5 @@ def remove_repeated_windows(docs: DataFrame, *, window: int = 13, gram: int = GR
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
                                              ["k", "n_words", "n_removed", "kept"])
 
-    return marked.mapInArrow(keep, f"k {key_type}, n_words long, n_removed long, kept string").withColumnRenamed("k", key)
+    some, none = (p.mapInArrow(keep, f"k {key_type}, n_words long, n_removed long, kept string") for p in parts)
+    return some.unionByName(none).withColumnRenamed("k", key)

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, prepare
-from .common import whole
-from .repeats import Finder, covered, repeated_ranges, windows_in_smaller
+from .common import settled, whole
+from .repeats import Finder, covered, repeated_ranges, windows_in_smaller, with_ranges
 
 #: Bytes of the grams that anchor a window, and of the text of one shard on average.
 GRAM, SHARD_BYTES = 24, 2_000_000
@@ -231,7 +231,7 @@ def remove_repeated_strings(docs: DataFrame, *, window: int = 50, gram: int = GR
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(key).alias("key"), whole(text).alias("t"))
     finder = Finder(rows.where("k is not null").select("k", "t"), window, gram, words=False)
     ranges = repeated_ranges(finder, lambda d: windows_in_shards(d, window), "strings")
-    marked = (rows.withColumn("tag", F.crc32(F.col("t").cast("binary"))).join(ranges, ["k", "tag"], "left").select("key", "t", "ranges"))
+    parts = with_ranges(finder, rows, settled(ranges, "strings-ranges"))
     key_type = dict(docs.dtypes)[key]
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,4 +247,5 @@ def remove_repeated_strings(docs: DataFrame, *, window: int = 50, gram: int = GR
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (n, gone, runs)), pa.array(kept, pa.binary())],
                                              ["k", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return marked.mapInArrow(keep, f"k {key_type}, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("k", key)
+    some, none = (p.mapInArrow(keep, f"k {key_type}, n_bytes long, n_removed long, n_spans long, kept binary") for p in parts)
+    return some.unionByName(none).withColumnRenamed("k", key)
