@@ -8,13 +8,24 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_root
+from ..session import prepare, scratch_root
 
 #: Words are maximal runs of characters outside this set (space, tab to carriage return).
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Size of the batches that Spark hands to Python tasks; by rows alone a batch of long texts has no bound.
+BATCH_BYTES = 4_000_000
+
+
+def prepare_texts(spark: SparkSession) -> SparkSession:
+    """Session settings of the text operators: adaptive plans, and batches of bounded size."""
+    prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

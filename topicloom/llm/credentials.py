@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut, prepare
-from .common import let, quoted, whole
+from ..session import cut
+from .common import let, prepare_texts, quoted, whole
 
 #: Patterns by kind, in the order in which kinds are listed. ``assign`` matches are cut by their second group.
 PATTERNS = {
@@ -93,7 +93,7 @@ def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", owner: str
     Null text counts as empty, a null owner as an unknown one, null and repeated keys keep their rows; an empty table
     gives an empty result. Other columns are ignored. A document's spans stay in one row.
     """
-    prepare(docs.sparkSession)
+    prepare_texts(docs.sparkSession)
     repository = repository if repository is not None else F.concat_ws("/", owner, "lang")
     rows = cut(candidates(docs, key=key, text=text, owner=owner, repository=repository).withColumn("id", F.monotonically_increasing_id()), "secret-candidates")
     found = rows.where(F.size("found") > 0)

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordinal import number_keys
-from ..session import cut, prepare
-from .common import let, quoted, whole
+from ..session import cut
+from .common import let, prepare_texts, quoted, whole
 
 #: A phrase ends after a space that follows punctuation or one of these letters, which depends on the content
 #: next to it alone: an edit changes the phrases that it touches and no others.
@@ -76,7 +76,7 @@ def edited_likeness(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     repeated next key. A null key has no place in the order, so nothing replaces its last quarter and its next
     document is empty. An empty table gives an empty result. Other columns are ignored.
     """
-    prepare(docs.sparkSession)
+    prepare_texts(docs.sparkSession)
     rows = docs.select(F.col(key).alias("k"), whole(text).alias("t"))
     sizes = cut(rows.where("k is not null").groupBy("k").agg(F.max(F.length("t")).alias("n")), "merkle-sizes")
     order = cut(number_keys(sizes, ["k"], "place"), "merkle-order")

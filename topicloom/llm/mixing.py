@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut, prepare
-from .common import WORD, words_sql, whole
+from ..session import cut
+from .common import WORD, prepare_texts, whole, words_sql
 
 #: Weights given to the sources in order of their names, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -68,7 +68,7 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, limit: float =
     Null text has size 0, a null source is a source of its own (last), null and repeated keys keep their rows
     (equal keys are ordered by size); an empty table gives an empty result. Other columns are ignored.
     """
-    prepare(docs.sparkSession)
+    prepare_texts(docs.sparkSession)
     t = whole(text)
     u = uniform(F.coalesce(F.col(key).cast("string"), F.lit("")), seed)
     rows = cut(docs.select(F.col(key).alias("k"), F.col(source).alias("source"),

@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut, prepare
-from .common import slices, whole
+from ..session import cut
+from .common import prepare_texts, slices, whole
 
 #: Pieces that one group holds on average; a group is packed by one task.
 GROUP_PIECES = 8_192
@@ -152,7 +152,7 @@ def pack(docs: DataFrame, tokenizer: str, *, window: int = 4096, end_id: int = 2
     Null text counts as empty: the document is its ``end_id`` alone. Rows with null or repeated keys are packed
     like any other, each in its own right; an empty table gives no pieces. Other columns are ignored.
     """
-    spark = prepare(docs.sparkSession)
+    spark = prepare_texts(docs.sparkSession)
     pieces = cut(token_pieces(docs, tokenizer, window=window, end_id=end_id, key=key, text=text), "pack-pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
     draw = F.xxhash64("__k", "start", "ids_crc32", F.lit(seed))

@@ -7,8 +7,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut, prepare
-from .common import WORD, let, quoted, whole, words_sql
+from ..session import cut
+from .common import WORD, let, prepare_texts, quoted, whole, words_sql
 
 #: Rules reject above a cutoff; the metric of each as SQL over the counts. Cutoffs are tried as listed.
 RULES = {
@@ -95,7 +95,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text
     Null text counts as empty and fails; a null stratum is a stratum; labels that are null, repeated for a key or
     without a document are counted once, not at all; an empty table gives an empty result. Other columns are ignored.
     """
-    prepare(docs.sparkSession)
+    prepare_texts(docs.sparkSession)
     rows = cut(measures(docs, key=key, text=text, stratum=stratum), "quality-measures").withColumn(
         "base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {int(100 * MAX_REPEATS)} * n_words"))
     good = labels.groupBy(F.col(key).alias("g")).agg(F.min(label).alias("good")).where("good = 1").select("g")

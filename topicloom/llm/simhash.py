@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from ..session import cut, prepare
-from .common import whole
+from ..session import cut
+from .common import prepare_texts, whole
 
 #: Bytes of a fingerprint, and the largest number of differing bits of a link.
 BYTES, RADIUS = 8, 4
@@ -168,7 +168,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     other. Rows with a null key get the component's smallest key, which is null only if none of its rows has a
     key; repeated keys keep their rows; an empty table gives an empty result. Other columns are ignored.
     """
-    prepare(docs.sparkSession)
+    prepare_texts(docs.sparkSession)
     marked = cut(fingerprints(docs, key=key, text=text, shingle=shingle, seed=seed), "simhash-marks")
     fps = cut(marked.groupBy("fp").agg(F.min("k").alias("low")), "simhash-distinct")
     roots = connected_components(cut(near_links(fps), "simhash-links"))

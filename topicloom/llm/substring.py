@@ -8,8 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import prepare
-from .common import settled, whole
+from .common import prepare_texts, settled, whole
 from .repeats import Finder, covered, repeated_ranges, windows_in_smaller, with_ranges
 
 #: Words of the grams that anchor a window.
@@ -27,7 +26,7 @@ def remove_repeated_windows(docs: DataFrame, *, window: int = 13, gram: int = GR
     Null text counts as empty, a row without a (whole-number) key is no source and stays as it is, rows of one key are
     never sources for each other, and an empty table gives an empty result. Other columns are ignored.
     """
-    prepare(docs.sparkSession)
+    prepare_texts(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(key).alias("key"), whole(text).alias("t"))
     finder = Finder(rows.where("k is not null").select("k", "t"), window, gram, words=True)
     ranges = repeated_ranges(finder, lambda d: windows_in_smaller(d, window, words=True), "windows")

@@ -12,8 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import prepare, scratch_root
-from .common import slices, whole
+from ..session import scratch_root
+from .common import prepare_texts, slices, whole
 
 CACHE_SCHEMA = "digest string, version string, n_tokens long"
 
@@ -70,7 +70,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, *, key: str = "doc
     Null text counts as empty and has 0 tokens; null and repeated keys keep their rows; an empty table gives an
     empty result. Other columns of ``docs`` are ignored.
     """
-    spark = prepare(docs.sparkSession)
+    spark = prepare_texts(docs.sparkSession)
     version_ = tokenizer_version(tokenizer)
     rows = docs.select(F.col(key).alias("__k"), whole(text).alias("__t")).withColumn("__d", F.sha2("__t", 256))
     digests = rows.select("__k", "__d", F.octet_length("__t").cast("long").alias("n_bytes"))

@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import prepare
-from .common import slices, whole
+from .common import prepare_texts, slices, whole
 
 #: Labelled documents that the model is fitted on at most, drawn by a hash of their key.
 SAMPLE_DOCS = 6_000
@@ -280,7 +279,7 @@ def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "te
 def keep_clean(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", at: float = 0.5) -> DataFrame:
     """``docs`` without the documents that score ``at`` or more. Its columns stay; see
     :func:`score` for nulls, repeats and empty texts."""
-    prepare(docs.sparkSession)
+    prepare_texts(docs.sparkSession)
     model = fit(docs, labels, key=key, text=text)
     # rows pass through the scoring tasks as they are, which needs no join
     whole_rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("k"), F.col(text).alias("t"))
