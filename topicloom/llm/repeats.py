@@ -182,10 +182,17 @@ class Finder:
         self.texts, self.window, self.gram, self.words = texts, window, gram, words
         total = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
         density = 2 / (window - gram + 2) / (6 if words else 1)
+        self.shared: list = []
         self.cells = MIN_CELLS
         while self.cells < min(MAX_CELLS, total * density * CELLS_PER_FRAGMENT):
             self.cells *= 2
 
+    def release(self) -> None:
+        """Free the bits on executors; a task that is run again gets them anew."""
+        for b in self.shared:
+            b.unpersist()
+        self.shared.clear()
+
     def _walk(self) -> Callable:
         window, gram, words = self.window, self.gram, self.words
 
@@ -221,8 +228,10 @@ class Finder:
         return merged_bits(self.texts.select("k", "t").mapInArrow(count, "region long, chunk int, once binary, more binary"), cells)
 
     def bits_of(self, anchors: DataFrame) -> np.ndarray:
-        """Bits of the cells of the given anchors."""
-        cells = self.cells
+        """Bits of the cells of the given anchors (a written table), sixteen cells for each within the bounds."""
+        cells, n = MIN_CELLS, anchors.count()
+        while cells < min(MAX_CELLS, 16 * n):
+            cells *= 2
 
         def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -237,6 +246,7 @@ class Finder:
         With ``content`` also the bytes from the first to the last item."""
         walk, window = self._walk(), self.window
         shared = self.texts.sparkSession.sparkContext.broadcast(bits)
+        self.shared.append(shared)
 
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from zlib import crc32
@@ -312,11 +322,14 @@ def repeated_ranges(finder: Finder, inner: Callable[[DataFrame], DataFrame], nam
     with scratch_scope(finder.texts.sparkSession):
         groups = cut(finder.fragments(finder.sketch()).groupBy("anchor", "digest").agg(F.min("k").alias("low"), F.max("k").alias("high")),
                      f"{name}-groups")
+        finder.release()
         several = cut(groups.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("low").alias("a"), F.max("low").alias("b"))
                       .where("kinds > 1 and a < b").select("anchor", "kinds"), f"{name}-several")
         distinct = (finder.fragments(finder.bits_of(several), content=True).groupBy("anchor", "digest")
                     .agg(F.min("k").alias("low"), F.first("content").alias("content")).join(several, "anchor"))
-        offsets = inner(cut(distinct, f"{name}-distinct"))
+        distinct = cut(distinct, f"{name}-distinct")
+        finder.release()
+        offsets = inner(distinct)
         known = settled(groups.join(offsets, ["anchor", "digest"], "left").where("low < high or offsets is not null")
                         .select("anchor", "digest", "low", "offsets"), f"{name}-known")
     at, n = F.col("at").bitwiseAND(F.lit((1 << 32) - 1)), F.col("n").cast("long")
