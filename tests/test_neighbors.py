@@ -187,3 +187,14 @@ def test_too_many_categories_are_refused(spark):
         share_categories(table)
     with pytest.raises(ValueError):
         share_categories(table.limit(0))
+
+
+def test_null_and_ragged_vectors_are_refused():
+    import pyarrow as pa
+
+    from topicloom.operators.kernel import vectors
+
+    assert vectors(pa.table({"v": [[1.0, 2.0], [3.0, 4.0]]}), "v").tolist() == [[1, 2], [3, 4]]
+    for rows in ([[1.0, 2.0, 3.0, 4.0], None], [[1.0, 2.0], [3.0]]):
+        with pytest.raises(ValueError):
+            vectors(pa.table({"v": rows}), "v")

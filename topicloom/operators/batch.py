@@ -26,10 +26,9 @@ def merge_batch(new_docs: DataFrame, backlog_docs: DataFrame) -> DataFrame:
 
 
 def corpus(batch: DataFrame, clusterized: DataFrame) -> DataFrame:
-    """The batch plus the documents of live clusters that are not in it, with usable categories."""
+    """The batch plus the documents of live clusters that are not in it. Documents without a category stay."""
     rest = clusterized.join(batch.select("url"), "url", "left_anti")
-    both = batch.unionByName(rest, allowMissingColumns=True)
-    return both.where((F.size("categories") > 0) | F.col("categories").isNull())
+    return batch.unionByName(rest, allowMissingColumns=True)
 
 
 def with_layer_flags(rows: DataFrame) -> DataFrame:

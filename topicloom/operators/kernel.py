@@ -38,6 +38,9 @@ def vectors(table: pa.Table, column: str) -> np.ndarray:
     data = table.column(column).combine_chunks()
     if isinstance(data, pa.ChunkedArray):
         data = pa.concat_arrays(data.chunks) if data.num_chunks else pa.array([], data.type)
+    sizes = data.value_lengths()
+    if data.null_count or len(data) and len(sizes.unique()) > 1:
+        raise ValueError(f"{column}: vectors must not be null and must have one length")
     flat = data.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(data), -1) if len(data) else np.zeros((0, 1))
 

@@ -106,13 +106,14 @@ def daily_clusters(store: Store, docs: DataFrame, ref_date: dt.date | str, *, re
     n = old_profiles.count()
     layer1 = cut(body.join(first_layer(body, shared, day, **sizes), "url"), "layer1")
     n += layer1.select("cluster").distinct().count()
-    layer1 = cut(_moved(layer1, split_outliers(layer1, shared, day, n, **sizes)), "layer1-split")
+    layer1 = _moved(layer1, split_outliers(layer1, shared, day, n, **sizes))
+    layer1 = cut(layer1.withColumn("entered", is_noise(F.col("cluster"))), "layer1-split")
     n += layer1.select("cluster").distinct().count()
     layer2 = cut(layer1.drop("cluster").join(second_layer(layer1, shared, day, n, **sizes), "url"), "layer2")
     n += layer2.select("cluster").distinct().count()
-    # only clusters born in the second layer are looked at again
-    reopened = layer2.where(~F.col("first_layer"))
-    docs_now = cut(_moved(layer2, split_outliers(reopened, shared, day, n, **sizes)), "layer2-split")
+    # documents that entered the second layer are looked at again, also those that a split of the first threw out
+    reopened = layer2.where("entered")
+    docs_now = cut(_moved(layer2, split_outliers(reopened, shared, day, n, **sizes)).drop("entered"), "layer2-split")
 
     # old or new cluster
     means = centroids(docs_now, "cluster", "content_embedding")
@@ -147,9 +148,10 @@ class CommunityResult:
 def clean_communities(store: Store, day: dt.date) -> None:
     """Drop links to clusters that are gone, their communities, and temporary communities."""
     links = live_links(store.read("cluster_communities"), day)
-    if is_empty(links):
+    live = live_clusters(store.read("clusters"), day, inclusive=True)
+    if is_empty(links) or is_empty(live):
         return
-    dead, drop = stale_links(links, live_clusters(store.read("clusters"), day, inclusive=True))
+    dead, drop = stale_links(links, live)
     dead, drop = cut(dead, "dead-links"), cut(drop, "dead-communities")
     store.delete("cluster_communities", dead, ["cluster_id"])
     store.delete("communities", drop, ["community_id"])
@@ -167,7 +169,8 @@ def daily_communities(store: Store, docs: DataFrame, ref_date: dt.date | str, *,
     clean_communities(store, day)
     table = store.read("categories_distances")
     shared = share_categories(table)
-    assigned = store.read("clusterized_docs")
+    # documents of live clusters lie inside the time to live
+    assigned = store.read("clusterized_docs").where(F.col("timestamp") >= F.lit(day - dt.timedelta(days=TTL_DAYS)))
     all_clusters = store.read("clusters")
     links = live_links(store.read("cluster_communities"), day).where(~F.col("unclusterized"))
 

@@ -259,7 +259,7 @@ ORACLES: dict[str, str] = {
     "dedupe_keep_first": """select doc_id, lang, n_chars from (select *, row_number() over (partition by text order by n_chars, doc_id) as rn
         from documents) where rn = 1""",
     "corpus": _with(DOCS) + """select url, topic as cluster, ts = date '2024-01-30' as first_layer, false as second_layer,
-        ts <> date '2024-01-30' as old_doc from feed where len(cats) > 0""",
+        ts <> date '2024-01-30' as old_doc from feed""",
     "document_rows": _with(DOCS) + """select url, case when doc_id % 13 <> 0 then topic end as cluster_id,
         case when doc_id % 17 <> 0 then ts else date '2024-01-30' end as timestamp,
         doc_id % 13 = 0 or topic like '%-1' as unclusterized from feed""",

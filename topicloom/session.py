@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,7 +15,8 @@ BROADCAST_ROWS = 20_000
 BROADCAST_VALUES = 8_000_000
 
 _own_scratch: dict[str, str] = {}
-_scopes: list[list[str]] = []
+#: Tables of the innermost scope; each thread of the driver has its own.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -51,8 +53,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/topicloom/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    if (tables := _scope.get()) is not None:
+        tables.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -62,11 +64,11 @@ def scratch_scope(spark: SparkSession):
     """Remove the tables that :func:`cut` wrote inside the block. Nothing that leaves the block may
     read them; the jobs return their result tables."""
     mine: list[str] = []
-    _scopes.append(mine)
+    outer = _scope.set(mine)
     try:
         yield
     finally:
-        _scopes.remove(mine)
+        _scope.reset(outer)
         for name in mine:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
