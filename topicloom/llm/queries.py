@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import credentials, merkle, mixing, packing, quality, simhash, substring, suffixes, tokens, toxicity
 from .common import documents
+from .oracles import ORACLES  # noqa: F401
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,4 +75,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_secrets, op3_mixing, op4_suffixes, op5_toxicity, op6_merkle,
                                op7_simhash, op8_tokens, op9_windows, op10_quality)
 }
-ORACLES: dict[str, str] = {}
