@@ -24,8 +24,8 @@ CELLS_PER_FRAGMENT = 5
 #: Powers of two: cells of a chunk (16-bit numbers) and of a region, which one task merges.
 CHUNK, REGION = 16, 20
 #: Characters that are hashed together, few enough for the arrays to stay in a core's cache, and anchors that a
-#: task counts at a time.
-SLICE_CHARS, COUNTED = 120_000, 2_000_000
+#: task counts or marks at a time.
+SLICE_CHARS, COUNTED, MARKED = 120_000, 2_000_000, 500_000
 #: Windows of a fragment at most; longer ones (periodic texts) are cut.
 MAX_RUN = 64
 #: Odd multipliers of the two hashes; any odd numbers will do.
@@ -233,11 +233,21 @@ class Finder:
         while cells < min(MAX_CELLS, 16 * n):
             cells *= 2
 
+        def marks(anchors: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            a = np.repeat(np.concatenate(anchors), 2)
+            for row in range(ROWS):
+                yield region_batch(list(regions(cell(a, row, cells), row)))
+
         def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kept, n = [], 0
             for b in batches:
-                a = np.repeat(b.column(0).to_numpy().view(np.uint64), 2)
-                for row in range(ROWS):
-                    yield region_batch(list(regions(cell(a, row, cells), row)))
+                kept.append(b.column(0).to_numpy().view(np.uint64))
+                n += len(kept[-1])
+                if n > MARKED:
+                    yield from marks(kept)
+                    kept, n = [], 0
+            if kept:
+                yield from marks(kept)
 
         return merged_bits(anchors.select("anchor").mapInArrow(mark, "region long, chunk int, once binary, more binary"), cells)
 
