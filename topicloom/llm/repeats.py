@@ -374,11 +374,17 @@ def with_ranges(finder: Finder, rows: DataFrame, ranges: DataFrame) -> tuple[Dat
     return joined, none.select("key", "t", F.lit(None).cast(ranges.schema["ranges"].dataType).alias("ranges"))
 
 
-def covered(n: int, ranges: list | None, window: int) -> np.ndarray:
+def range_arrays(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Starts and ends of the ranges of each row; none for null."""
+    edges, (a, b) = column.offsets.to_numpy(), (x.to_numpy() for x in column.values.flatten())
+    for i, j, valid in zip(edges[:-1].tolist(), edges[1:].tolist(), column.is_valid().to_pylist()):
+        yield (a[i:j], b[i:j]) if valid else (a[:0], b[:0])
+
+
+def covered(n: int, ranges: tuple[np.ndarray, np.ndarray], window: int) -> np.ndarray:
     """Flags of the ``n`` items that lie in a repeated window."""
-    if not ranges:
+    a, b = ranges
+    if not len(a):
         return np.zeros(n, bool)
-    edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, [r["a"] for r in ranges], 1)
-    np.add.at(edge, [r["b"] + window - 1 for r in ranges], -1)
+    edge = np.bincount(a, minlength=n + 1)[:n + 1] - np.bincount(b + window - 1, minlength=n + 1)[:n + 1]
     return np.cumsum(edge[:n]) > 0

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare_texts, settled, whole
-from .repeats import Finder, covered, repeated_ranges, windows_in_smaller, with_ranges
+from .repeats import Finder, covered, range_arrays, repeated_ranges, windows_in_smaller, with_ranges
 
 #: Words of the grams that anchor a window.
 GRAM = 6
@@ -36,9 +36,9 @@ def remove_repeated_windows(docs: DataFrame, *, window: int = 13, gram: int = GR
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, gone, kept = [], [], []
-            for t, r in zip(batch.column(1), batch.column(2)):
+            for t, r in zip(batch.column(1), range_arrays(batch.column(2))):
                 words = t.as_py().encode().split()
-                flags = covered(len(words), r.as_py(), window)
+                flags = covered(len(words), r, window)
                 n.append(len(words))
                 gone.append(int(flags.sum()))
                 kept.append(b" ".join([w for w, f in zip(words, flags.tolist()) if not f] if gone[-1] else words).decode())

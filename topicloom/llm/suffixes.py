@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from .common import prepare_texts, settled, whole
-from .repeats import Finder, covered, repeated_ranges, windows_in_smaller, with_ranges
+from .repeats import Finder, covered, range_arrays, repeated_ranges, windows_in_smaller, with_ranges
 
 #: Bytes of the grams that anchor a window, and of the text of one shard on average.
-GRAM, SHARD_BYTES = 24, 2_000_000
+GRAM, SHARD_BYTES = 24, 1_000_000
 #: Distinct fragments of one anchor that a shard takes; the windows of larger anchors are grouped by their hash.
 SHARD_KINDS = 4_096
 #: Bucket numbers up to which a reduced string is sorted by induction again; beyond it by doubling.
@@ -93,7 +93,7 @@ def _doubled(names: np.ndarray) -> np.ndarray:
         second = np.zeros(n, np.int64)
         second[:n - width] = rank[width:] + 1
         pair = rank * (n + max(2, int(names.max()) + 2)) + second
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)
         new = np.concatenate(([0], np.cumsum(pair[order][1:] != pair[order][:-1])))
         rank = np.empty(n, np.int64)
         rank[order] = new
@@ -110,8 +110,9 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     order induces that of all suffixes. A string of very many names has too many buckets to visit, so its
     suffixes are sorted by doubling.
     """
-    t = np.asarray(t, np.int64)
     n = len(t)
+    # small numbers are sorted by their digits
+    t = np.asarray(t, np.uint16 if n and np.max(t) < 1 << 16 else np.int64)
     if n < 2:
         return np.arange(n)
     # a suffix is smaller than the next if its symbol is, or an equal symbol's suffix is; the last one is larger
@@ -160,16 +161,20 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
 def permuted_common_prefixes(data: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
     """For each position in text order, the symbols its suffix shares with the one before it in the array, ``limit`` at most."""
     n = len(data)
-    room = np.concatenate((data, np.full(limit + 8, -1, data.dtype)))
+    # four symbols, each one higher, to a word; 0 stands behind the end, which two suffixes never reach together
+    room = np.zeros(n + limit + 8, np.uint64)
+    room[:n] = np.asarray(data, np.uint64) + np.uint64(1)
+    words = room[:-3] | room[1:-2] << np.uint64(16) | room[2:-1] << np.uint64(32) | room[3:] << np.uint64(48)
     shared = np.zeros(n, np.int64)
     a, b = sa[:-1], sa[1:]
-    open_ = np.arange(n - 1)
-    for i in range(limit):
-        open_ = open_[(room[a[open_] + i] == room[b[open_] + i]) & (room[b[open_] + i] >= 0)]
-        if not len(open_):
+    for i in range(0, limit, 4):
+        unlike = words[a + i] ^ words[b + i]
+        same = unlike == 0
+        shared[b] += sum((unlike & np.uint64((1 << 16 * k) - 1) == 0).astype(np.int64) for k in (1, 2, 3)) + same
+        a, b = a[same], b[same]
+        if not len(a):
             break
-        shared[b[open_]] += 1
-    return shared
+    return np.minimum(shared, limit)
 
 
 def windows_by_suffixes(parts: list[bytes], lows: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -237,9 +242,9 @@ def remove_repeated_strings(docs: DataFrame, *, window: int = 50, gram: int = GR
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, gone, runs, kept = [], [], [], []
-            for t, r in zip(batch.column(1), batch.column(2)):
+            for t, r in zip(batch.column(1), range_arrays(batch.column(2))):
                 raw = t.as_py().encode()
-                flags = covered(len(raw), r.as_py(), window)
+                flags = covered(len(raw), r, window)
                 n.append(len(raw))
                 gone.append(int(flags.sum()))
                 runs.append(int((flags[1:] & ~flags[:-1]).sum() + flags[:1].sum()))
