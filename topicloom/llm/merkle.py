@@ -84,14 +84,17 @@ def edited_likeness(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     following = order.select(F.col("k").alias("next"), F.pmod(F.col("place") - 1, F.lit(max(total, 1))).alias("place"))
     asked = (order.join(following, "place").join(sizes, "k")
              .select(F.col("k").alias("asks"), F.col("next").alias("k"), F.floor(F.col("n") / 4).cast("int").alias("m")))
-    answers = (rows.join(asked, "k").select(F.col("asks").alias("k"), F.expr("substring(t, 1, m)").alias("start"), F.col("t"))
+    # both joins filter the texts alike, or the exchange would not be shared; rows without a key need no join
+    keyed = rows.where("k is not null")
+    answers = (keyed.join(asked, "k").select(F.col("asks").alias("k"), F.expr("substring(t, 1, m)").alias("start"), F.col("t"))
                .select("k", "start", leaves(F.expr(fingerprint_sql("t"))).alias("other")))
     answers = answers.groupBy("k").agg(F.min(F.struct("start", "other")).alias("a")).select("k", "a.*") if _repeats(rows, total) else answers
     cut_at = F.floor(F.length("t") / 4).cast("int")
     edited = F.concat(F.expr("substring(t, 1, length(t) - cast(floor(length(t) / 4) as int))"),
                       F.substring(F.coalesce("start", F.lit("")), F.lit(1), cut_at))
     none = leaves(F.expr(fingerprint_sql("''")))
-    out = (rows.join(answers, "k", "left").select("k", "t", edited.alias("edited"), F.coalesce("other", none).alias("other"))
+    joined = keyed.join(answers, "k", "left").unionByName(rows.where("k is null"), allowMissingColumns=True)
+    out = (joined.select("k", "t", edited.alias("edited"), F.coalesce("other", none).alias("other"))
            .withColumn("fingerprint", F.expr(fingerprint_sql("t"))).withColumn("edited_fingerprint", F.expr(fingerprint_sql("edited"))))
     own = leaves(F.col("fingerprint"))
     out = out.select("k", F.length("t").cast("long").alias("n_chars"), "edited", "fingerprint", "edited_fingerprint", own.alias("own"),
