@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import brute
-from topicloom.llm import credentials, merkle, mixing, packing, quality, simhash, substring, suffixes, tokens, toxicity
+from topicloom.llm import credentials, merkle, mixing, packing, quality, repeats, simhash, substring, suffixes, tokens, toxicity
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
                        T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
@@ -227,6 +227,16 @@ def test_shared_passages(spark, shared_passages, monkeypatch):
     assert {d: r.n_removed for d, r in by_id(suffixes.remove_repeated_strings(docs)).items()} == want
 
 
+@pytest.mark.parametrize("n", [256, 257])
+def test_passage_in_many_count_slices(spark, monkeypatch, n):
+    """Each text is a slice of its own, and all partial counts of a cell arrive in one batch."""
+    monkeypatch.setattr(repeats, "SLICE_CHARS", 1)
+    monkeypatch.setattr(repeats, "COUNTED", 0)
+    passage = " ".join(f"p{i}" for i in range(13))
+    docs = spark.createDataFrame([(i, f"{passage} own{i}") for i in range(n)], "doc_id long, text string")
+    assert {d: r.n_removed for d, r in by_id(substring.remove_repeated_windows(docs)).items()} == {i: 13 * (i > 0) for i in range(n)}
+
+
 def test_tokens(spark, docs, rows):
     import sentencepiece
 

@@ -148,9 +148,9 @@ def merged_bits(counted: DataFrame, cells: int) -> np.ndarray:
         for b in batches:
             for chunk, once, more in zip(*(b.column(c).to_pylist() for c in ("chunk", "once", "more"))):
                 at = chunk << CHUNK
-                n[at + np.frombuffer(once, "<u2").astype(np.int64)] += 1
+                one = at + np.frombuffer(once, "<u2").astype(np.int64)
+                n[one] = np.minimum(n[one] + 1, 2)  # a batch may hold more rows of a cell than a byte counts
                 n[at + np.frombuffer(more, "<u2").astype(np.int64)] = 2
-            np.minimum(n, 2, out=n)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([np.packbits(n > 1).tobytes()], pa.binary())],
                                          ["region", "bits"])
 
