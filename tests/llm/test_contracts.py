@@ -165,6 +165,14 @@ def test_simhash_dense_group(spark, monkeypatch):
     assert all(len(x) == 1 for x in same.values()) and len({next(iter(x)) for x in same.values()}) == len(same)
 
 
+def test_rows_without_a_key_of_their_own_stay(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(80)) for c in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[4]), (3, texts[4]), (None, texts[4]), (9, texts[5])]
+    want = sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (3, texts[4]), (9, texts[5])], key=str)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(((r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()), key=str) == want
+
+
 def test_simhash_triples():
     from itertools import combinations
 

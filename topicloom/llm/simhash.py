@@ -179,9 +179,15 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             .select(F.col("k").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def one_of_each(docs: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with the smallest key of each group of near-duplicates; of rows with that key one stays. Groups that
-    have no key at all keep one row."""
-    kept = (near_duplicates(docs, key=key, **options).where(F.col(key).eqNullSafe(F.col("component_id")))
-            .select(F.col(key).alias("__k")).distinct())
-    return (docs.join(kept, F.col(key).eqNullSafe(F.col("__k"))).drop("__k").dropDuplicates([key]))
+def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: that of the smallest key; nulls are last.
+
+    Groups are those of :func:`near_duplicates`. Keys only choose among the rows of a group: different texts with equal keys, or without one, all stay.
+    """
+    prepare_texts(docs.sparkSession)
+    rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
+    groups = near_duplicates(rows, key="__row", text=text, shingle=shingle, seed=seed).select("__row", "component_id")
+    first = F.min(F.struct(F.col("k").isNull().alias("none"), "k", "__row")).alias("x")
+    kept = (groups.join(rows.select("__row", F.col(key).alias("k")), "__row").groupBy("component_id").agg(first)
+            .select("x.__row"))
+    return rows.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
