@@ -94,6 +94,25 @@ def components(fps):
     return {d: find(d) for d in ids}
 
 
+def similar(rows, n, similarity):
+    """pairs of at least the similarity of their sets of n words, and doc_id -> smallest doc_id reachable over them"""
+    sets = {}
+    for d, t in rows:
+        w = W.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[d] = {" ".join(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+    ids = sorted(sets)
+    links = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1:]
+             if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
+    root = {d: d for d in ids}
+    for _ in ids:
+        before = dict(root)
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            break
+    return links, root
+
+
 def removed(sequences, n):
     """doc -> flags of the items covered by an n-window that also starts in a smaller doc"""
     first = {}

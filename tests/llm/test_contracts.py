@@ -170,7 +170,32 @@ def test_rows_without_a_key_of_their_own_stay(spark):
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[4]), (3, texts[4]), (None, texts[4]), (9, texts[5])]
     want = sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (3, texts[4]), (9, texts[5])], key=str)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(((r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()), key=str) == want
+    for options in ({}, {"shingle": 5, "similarity": 0.8}):
+        assert sorted(((r.doc_id, r.text) for r in simhash.one_of_each(docs, **options).collect()), key=str) == want
+
+
+def test_similar_documents(spark, monkeypatch):
+    """All groups of a Jaccard similarity of 0.8 over five words, with a passage in every text and lists of many blocks."""
+    import random
+
+    monkeypatch.setattr(simhash, "PAIRED", 8)
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(12)]
+    texts = [None, "", "a b", "A  b"]
+    for g in range(12):
+        base = [f"w{rng.randrange(500)}" for _ in range(rng.choice([30, 90, 200]))]
+        for _ in range(10):
+            own = list(base)
+            for _ in range(rng.randint(0, 4)):
+                own[rng.randrange(len(own))] = f"x{rng.randrange(10 ** 6)}"
+            texts.append(" ".join(own[:rng.randint(len(own) * 4 // 5, len(own))] + passage))
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    links, groups = brute.similar(rows, 5, 0.8)
+    fps = brute.simhashes(rows)
+    assert any((fps[a] ^ fps[b]).bit_count() > 4 for a, b in links)
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5, similarity=0.8)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(groups.values()))
 
 
 def test_simhash_triples():
