@@ -110,11 +110,14 @@ def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", owner: str
 
 def redact(docs: DataFrame, *, key: str = "doc_id", text: str = "text", mark: str = "[secret]", **options) -> DataFrame:
     """``docs`` with every live span replaced by ``mark``; widely copied examples stay. Overlapping spans are
-    replaced as one. Rows with equal keys should be equal."""
+    replaced as one. Spans belong to rows; ``key`` is not
+    looked at."""
+    prepare_texts(docs.sparkSession)
     live = F.filter("found", lambda x: x["live"])
-    hits = (scan(docs, key=key, text=text, **options).where("n_live > 0")
-            .groupBy(F.col(key).alias("__k")).agg(F.first(F.transform(live, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))).alias("__x")))
-    rows = docs.join(hits, F.col(key).eqNullSafe(F.col("__k")), "left")
+    rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "secret-rows")
+    hits = scan(rows, key="__row", text=text, **options).where("n_live > 0").select(
+        F.col("__row").alias("__k"), F.transform(live, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias("__x"))
+    rows = rows.join(hits, F.col("__row") == F.col("__k"), "left")
     t = f"`{text}`"
     clean = (f"aggregate(__x, named_struct('at', 0L, 'out', ''), (a, x) -> named_struct('at', greatest(a.at, x.e), 'out', "
              f"if(x.s < a.at, a.out, concat(a.out, substring({t}, cast(a.at + 1 as int), cast(x.s - a.at as int)), '{mark}'))), "

@@ -54,7 +54,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit
 
 
 def mix(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, limit: float = 3.0, seed: str = "mix",
-        key: str = "doc_id", source: str = "source", text: str = "text", slice_docs: int = SLICE_DOCS) -> DataFrame:
+        key: str = "doc_id", source: str = "source", text: str = "text", slice_docs: int = SLICE_DOCS,
+        row: str | None = None) -> DataFrame:
     """``(key, size, source, source_size, target, epochs, taken)`` for each row of ``docs``.
 
     ``target / source_size`` complete epochs take every document; the rest of the budget goes to documents in
@@ -66,13 +67,15 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, limit: float =
     costs one aggregate like any other.
 
     Null text has size 0, a null source is a source of its own (last), null and repeated keys keep their rows
-    (equal keys are ordered by size); an empty table gives an empty result. Other columns are ignored.
+    (equal keys are ordered by size); an empty table gives an empty result. Other columns are ignored, but for a
+    number ``row`` of each row, which is passed on and orders equal keys of one size.
     """
     prepare_texts(docs.sparkSession)
+    passed = [] if row is None else [F.col(row).alias("row")]
     t = whole(text)
     u = uniform(F.coalesce(F.col(key).cast("string"), F.lit("")), seed)
     rows = cut(docs.select(F.col(key).alias("k"), F.col(source).alias("source"),
-                           F.regexp_count(t, F.lit(WORD)).cast("long").alias("size"), (-F.log(u) / quality(t)).alias("e")),
+                           F.regexp_count(t, F.lit(WORD)).cast("long").alias("size"), (-F.log(u) / quality(t)).alias("e"), *passed),
                "mix-rows")
     per_source = cut(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")), "mix-sources")
     targets = source_targets(per_source.select("source", "source_size"), weights, limit)
@@ -95,20 +98,23 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, limit: float =
     placed = placed.join(ends, same, "left").drop("s").withColumn("last", F.coalesce("last", F.lit(-1)))
     inside = F.col("part") == F.col("last")
     clear = placed.where(~inside).withColumn("part_taken", F.when(F.col("part") < F.col("last"), F.col("size")).otherwise(F.lit(0)))
-    run = Window.partitionBy("source").orderBy("e", "k", "size").rowsBetween(Window.unboundedPreceding, -1)
+    run = Window.partitionBy("source").orderBy("e", "k", "size", *(["row"] if passed else [])).rowsBetween(Window.unboundedPreceding, -1)
     room = F.col("budget") - F.col("before") - F.coalesce(F.sum("size").over(run), F.lit(0))
     edge = placed.where(inside).withColumn("part_taken", F.greatest(F.lit(0), F.least("size", room)))
     return (clear.unionByName(edge)
             .select(F.col("k").alias(key), "size", F.col("source").alias(source), "source_size", "target", "epochs",
-                    (F.col("epochs") * F.col("size") + F.col("part_taken")).cast("long").alias("taken")))
+                    (F.col("epochs") * F.col("size") + F.col("part_taken")).cast("long").alias("taken"),
+                    *([F.col("row").alias(row)] if passed else [])))
 
 
 def mixed_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents as the mix takes them: one row per copy with the columns of ``docs``; a last copy that is
-    taken in part holds that many of the document's words. Rows with equal keys should be equal."""
-    taken = mix(docs, key=key, text=text, **options).where("taken > 0").groupBy(F.col(key).alias("__k")).agg(
-        F.max("taken").alias("__taken"), F.max("size").alias("__size"))
-    rows = docs.join(taken, F.col(key).eqNullSafe(F.col("__k")))
+    taken in part holds that many of the document's words. What is taken belongs to rows, not to keys."""
+    prepare_texts(docs.sparkSession)
+    rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-docs")
+    taken = mix(rows, key=key, text=text, row="__row", **options).where("taken > 0").select(
+        F.col("__row").alias("__k"), F.col("taken").alias("__taken"), F.col("size").alias("__size"))
+    rows = rows.join(taken, F.col("__row") == F.col("__k"))
     rows = rows.withColumn("__copies", F.ceil(F.col("__taken") / F.col("__size")).cast("int"))
     rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies")))
     kept = F.col("__taken") - (F.col("__copy") - 1) * F.col("__size")
