@@ -324,6 +324,24 @@ def test_cutoffs_are_certified(spark):
     assert few == {}
 
 
+def test_junk_is_rejected(spark):
+    """Labelled junk of sf0.1 goes in every language with enough good documents, and good documents stay."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    rows = (quality.apply_rules(docs, labels).where("not base_failed").join(labels.select("doc_id", "quality"), "doc_id")
+            .join(docs.select("doc_id", "lang"), "doc_id").groupBy("lang", "quality")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("kept").cast("int")).alias("kept")).collect())
+    got = {(r.lang, r.quality): (r.n, r.kept) for r in rows}
+    for lang in ("en", "fr", "de"):
+        assert got[lang, 0][1] <= 0.05 * got[lang, 0][0] and got[lang, 1][1] >= 0.99 * got[lang, 1][0], got
+
+
+def test_one_noisy_rule_does_not_stop_the_others(spark):
+    rows = [(i, "en", 100, 500, 30 if i < 4 else 0, 10, 0, 90 if i < 2000 else 0) for i in range(20_000)]
+    holdout = spark.createDataFrame(rows, "k long, stratum string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long")
+    cut = {r.rule: (r.cutoff, r.rejected) for r in quality.certified_cutoffs(holdout).collect()}
+    assert cut == {"symbols": (0.02, 4), "dup_lines": (0.05, 0), "word_length": (7.0, 0)}
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     """Documents, labels and the model fitted on them; fewer rows hold too few toxic documents of each language."""

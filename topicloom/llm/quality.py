@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -20,6 +22,8 @@ RULES = {
 MIN_WORDS, MAX_REPEATS = 50, 0.5
 #: Largest share of good documents that all rules together may reject in a stratum, and the chance of a wrong promise.
 ALPHA, DELTA = 0.01, 0.05
+#: Part of ``DELTA`` for the cutoffs that are tested together.
+JOINT = 0.8
 
 
 def measures(docs: DataFrame, *, key: str, text: str, stratum: str) -> DataFrame:
@@ -63,26 +67,48 @@ def binomial_tail(k: str, n: str, p: float) -> str:
 
 
 def certified_cutoffs(holdout: DataFrame, *, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """``(stratum, rule, cutoff, rejected, n, p_value)``: the lowest certified cutoff of each rule and stratum.
+    """``(stratum, rule, cutoff, rejected, n, p_value)``: the certified cutoffs of each stratum.
 
-    ``holdout`` has the measures of documents known to be good. A rule may reject a share ``alpha`` / number of rules of
-    them. A cutoff is certified if as few false rejections as were seen have a probability below the level when
-    the true share is larger (the exact Clopper-Pearson test); the level is ``delta`` over the number of all tests,
-    that is strata x rules x cutoffs (Bonferroni). A rule without a certified cutoff does not act in that stratum.
+    ``holdout`` has the measures of documents known to be good. A cutoff is certified if as few false rejections as were
+    seen have a probability below a level when the true share is larger (the exact Clopper-Pearson test). Cutoffs are
+    tested from the loosest on and the first that fails ends its sequence, so a sequence needs one level, not one for
+    each cutoff. Two families share ``delta``, and both promise at most ``alpha`` for all rules together:
+
+    * ``JOINT`` of it goes to one sequence a stratum, in which all rules step together and the documents that any of
+      them rejects are held to the whole of ``alpha``; a few hundred documents without a false rejection do.
+    * The rest goes to a sequence for each rule, held to ``alpha`` / number of rules, which one noisy rule cannot stop.
+
+    A stratum takes the family that passed more cutoffs. A rule without a certified cutoff does not act there.
     """
-    share = alpha / len(RULES)
-    counts = [F.sum(F.when(F.expr(metric) > c, 1).otherwise(0)).cast("long").alias(f"{rule}_{i}")
-              for rule, (metric, cutoffs) in RULES.items() for i, c in enumerate(cutoffs)]
-    per = holdout.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *counts)
-    tests = [F.struct(F.lit(rule).alias("rule"), F.lit(float(c)).alias("cutoff"), F.col(f"{rule}_{i}").alias("rejected"))
-             for rule, (_, cutoffs) in RULES.items() for i, c in enumerate(cutoffs)]
+    share, names, steps = alpha / len(RULES), list(RULES), len(next(iter(RULES.values()))[1])
+    over = {(rule, s): F.expr(metric) > cutoffs[-s] for rule, (metric, cutoffs) in RULES.items() for s in range(1, steps + 1)}
+    for s in range(1, steps + 1):
+        over["all", s] = reduce(or_, (over[rule, s] for rule in names))
+    per = holdout.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[
+        F.sum(F.when(x, 1).otherwise(0)).cast("long").alias(f"{rule}_{s}") for (rule, s), x in over.items()])
+    tests = [F.struct(F.lit(rule).alias("rule"), F.lit(s).alias("step"), F.col(f"{rule}_{s}").alias("rejected")) for rule, s in over]
     strata = per.agg(F.count(F.lit(1)).alias("strata"))
     rows = per.select("stratum", "n", F.explode(F.array(*tests)).alias("x")).select("stratum", "n", "x.*").crossJoin(F.broadcast(strata))
-    tail = F.expr(binomial_tail("cast(rejected as double)", "cast(n as double)", share))
-    p = F.when(F.col("rejected") >= F.lit(share) * F.col("n"), F.lit(1.0)).otherwise(tail)
-    passed = rows.withColumn("p_value", p).where(F.col("p_value") <= F.lit(delta) / (F.col("strata") * len(tests)))
-    return (passed.groupBy("stratum", "rule").agg(F.min(F.struct("cutoff", "rejected", "n", "p_value")).alias("x"))
-            .select("stratum", "rule", "x.*"))
+    joint = F.col("rule") == "all"
+
+    def p_value(most: float) -> Column:
+        tail = F.expr(binomial_tail("cast(rejected as double)", "cast(n as double)", most))
+        return F.when(F.col("rejected") >= F.lit(most) * F.col("n"), F.lit(1.0)).otherwise(tail)
+
+    rows = rows.withColumn("p_value", F.when(joint, p_value(alpha)).otherwise(p_value(share)))
+    level = F.when(joint, F.lit(JOINT * delta)).otherwise(F.lit((1 - JOINT) * delta / len(RULES))) / F.col("strata")
+    # a tighter cutoff rejects no less, so those that pass are the first of their sequence
+    passed = F.struct("step", "p_value")
+    per = rows.groupBy("stratum").agg(
+        F.min("n").alias("n"),
+        *[F.max(F.when((F.col("rule") == r) & (F.col("p_value") <= level), passed)).alias(f"own_{r}") for r in ("all", *names)],
+        F.map_from_entries(F.collect_list(F.struct(F.concat_ws("_", "rule", "step"), "rejected"))).alias("seen"))
+    together = len(names) * F.coalesce("own_all.step", F.lit(0)) >= reduce(add, (F.coalesce(f"own_{r}.step", F.lit(0)) for r in names))
+    found = [F.struct(F.lit(r).alias("rule"), F.array(*[F.lit(float(c)) for c in RULES[r][1]]).alias("cutoffs"),
+                      F.when(together, F.col("own_all")).otherwise(F.col(f"own_{r}")).alias("x")) for r in names]
+    return (per.select("stratum", "n", "seen", F.explode(F.array(*found)).alias("f")).where("f.x is not null")
+            .select("stratum", "f.rule", F.element_at("f.cutoffs", -F.col("f.x.step")).alias("cutoff"),
+                    F.element_at("seen", F.concat_ws("_", "f.rule", "f.x.step")).alias("rejected"), "n", "f.x.p_value"))
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", stratum: str = "lang",
