@@ -143,3 +143,62 @@ def groups(rows, key):
     for r in rows:
         out[r[key]].append(r)
     return out
+
+
+def negatives(rows, positives=5, negatives=3, low=50, high=95):
+    """(vec, label, vector, anchor) rows to (anchor_id, positive_id, rank, negative_id, positive_score, negative_score), sorted"""
+    from math import floor, isfinite
+
+    kept = [(k, y, [floor(256 * x) for x in v], a) for k, y, v, a in rows
+            if y is not None and v is not None and all(x is not None and isfinite(x) for x in v)]
+    kept = [r for r in kept if sum(x * x for x in r[2]) < 2 ** 62]
+    out = []
+    for i, (k, y, v, anchor) in enumerate(kept):
+        if not anchor:
+            continue
+        score = {j: sum(a * b for a, b in zip(v, r[2])) for j, r in enumerate(kept)}
+        ranked = sorted(score, key=lambda j: (-score[j], kept[j][0] is None, kept[j][0] or 0, j))
+        for p in [j for j in ranked if kept[j][1] == y and j != i][:positives]:
+            far = [j for j in ranked if kept[j][1] != y and low * score[p] <= 100 * score[j] <= high * score[p]][:negatives]
+            out += [(k, kept[p][0], n + 1, kept[j][0], score[p], score[j]) for n, j in enumerate(far)]
+    return sorted(out, key=str)
+
+
+def middle(key, text):
+    """n, form, prefix_chars, middle_chars, output"""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text or "")
+    h = hashlib.sha256(f"7:{'' if key is None else key}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[i:i + 8], 16) for i in range(0, 32, 8))
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 100:
+        return n, "plain", None, None, text or ""
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = ("".join(x) for x in (units[:a], units[a:b], units[b:]))
+    if h4 % 100 < 50:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def linked_sets(rows, n=3, percent=85):
+    """doc_id -> (set size, component id) over links of sets of n words"""
+    sets = {}
+    for d, t in rows:
+        w = W.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[d] = {" ".join(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+    where = defaultdict(list)
+    for d in sorted(sets):
+        for x in sets[d]:
+            where[x].append(d)
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for d in sorted(sets):
+        shared = Counter(e for x in sets[d] for e in where[x] if e < d)
+        for e, both in shared.items():
+            if 100 * both >= percent * (len(sets[d]) + len(sets[e]) - both):
+                x, y = find(d), find(e)
+                root[max(x, y)] = min(x, y)
+    return {d: (len(sets[d]), find(d)) for d in sets}

@@ -1,4 +1,4 @@
-"""Queries over the ten operators; each applies its operator to the whole table."""
+"""Queries over the operators; each applies its operator to the whole table."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import credentials, merkle, mixing, packing, quality, simhash, substring, suffixes, tokens, toxicity
+from . import credentials, fim, merkle, minhash, mixing, negatives, packing, quality, simhash, substring, suffixes, tokens, toxicity
 from .common import documents
 from .oracles import ORACLES  # noqa: F401
 
@@ -71,7 +71,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), anchors=F.col("vec_id") % 50 == 0, positives=5, negatives=3,
+                                    low=50, high=95, scale=256)
+
+
+def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform(fim.store(documents(spark, sf_dir)), seed=7, share=100, spm_share=50))
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), shingle=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_secrets, op3_mixing, op4_suffixes, op5_toxicity, op6_merkle,
-                               op7_simhash, op8_tokens, op9_windows, op10_quality)
+                               op7_simhash, op8_tokens, op9_windows, op10_quality,
+                               op11_negatives, op12_middle, op13_minhash)
 }
