@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from topicloom.llm import minhash
@@ -50,9 +51,12 @@ def crowded():
 
 @pytest.mark.parametrize("block, neighbours", [(2_048, 2), (8, 1), (16, 0)])
 def test_crowded_lists(spark, crowded, monkeypatch, block, neighbours):
-    """Lists of many blocks; without neighbours every link comes from the pairs across components."""
+    """Lists of many blocks; without neighbours and centres every link comes from the pairs across components."""
     monkeypatch.setattr(minhash, "BLOCK", block)
     monkeypatch.setattr(minhash, "NEIGHBOURS", neighbours)
+    if not neighbours:
+        monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 1_000)
+        monkeypatch.setattr(minhash, "starred", lambda lists, sets: lists.select(F.col("v").alias("a"), F.col("v").alias("b")).limit(0))
     want = check(spark, crowded)
     assert 20 < len({c for _, c in want.values()}) < 400
 
@@ -90,3 +94,20 @@ def test_signature_of_a_large_set_is_that_of_its_parts():
     placed ^= placed >> np.uint64(29)
     placed *= np.uint64(0x9E3779B97F4A7C15)
     assert (whole.view(np.uint32) == h[placed.argmin(axis=1)].astype(np.uint32)).all()
+
+
+def test_tasks_return_no_pairs_of_a_group(spark, monkeypatch):
+    """Texts alike but below the limit: many candidate pairs, none of which leaves its task."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(120):
+        own = list(base)
+        for at in rng.sample(range(300), 6):
+            own[at] = f"x{i}x{at}"
+        rows.append((i, " ".join(own)))
+    seen = {}
+    kept = minhash.cut
+    monkeypatch.setattr(minhash, "cut", lambda df, name: seen.setdefault(name, kept(df, name)))
+    check(spark, rows)
+    assert seen["minhash-rest"].count() <= len(rows) and seen["minhash-narrow"].count() <= len(rows) * minhash.COORDINATES
