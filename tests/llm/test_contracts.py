@@ -69,6 +69,28 @@ def test_packing(docs, rows):
         assert at <= 4096
 
 
+def test_packing_of_identical_rows(spark):
+    """A third of all rows alike: they spread over the groups like any others."""
+    docs = spark.createDataFrame([(None, "")] * 400 + [(i, f"text {i}") for i in range(800)], "doc_id long, text string")
+    got = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), group_pieces=100).groupBy(F.shiftright("sequence_id", 32)).count().collect()
+    assert sum(r["count"] for r in got) == 1200 and len(got) == 12 and max(r["count"] for r in got) < 150
+
+
+def test_word_ids():
+    """Any mixture of words, marks, letters of many scripts, control characters and special tokens, as the library has it."""
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    model, own, rng = Tokenizer.from_file(path), packing.WordIds(path), random.Random(5)
+    parts = "a A bZ \u00e9 e\u0301 \u03a3 \u03c2 \u0130 \u01c5 \ufb01 \u00b2 \u2167 \u4e2d \u093e \u0958 \ufb1d ' 's 're 'LL . ! ... || <| |> _ - \u200b \x00 \x1c \x85 \xa0 9 \U0001f600 # ` ~ <|endoftext|>".split(" ")
+    texts = ["", " ", "x" * 50_000, *("".join(rng.choice([*parts, " ", "\n"]) for _ in range(rng.randint(0, 14))) for _ in range(3_000))]
+    assert [x.tolist() for x in own(pa.array(texts))] == [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in own(pa.array(texts).slice(5, 9))] == [e.ids for e in model.encode_batch(texts[5:14], add_special_tokens=False)]
+
+
 def test_first_fit_decreasing():
     import numpy as np
 
@@ -183,32 +205,21 @@ def test_rows_without_a_key_of_their_own_stay(spark):
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[4]), (3, texts[4]), (None, texts[4]), (9, texts[5])]
     want = sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (3, texts[4]), (9, texts[5])], key=str)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for options in ({}, {"shingle": 5, "similarity": 0.8}):
-        assert sorted(((r.doc_id, r.text) for r in simhash.one_of_each(docs, **options).collect()), key=str) == want
-
-
-def test_similar_documents(spark, monkeypatch):
-    """All groups of a Jaccard similarity of 0.8 over five words, with a passage in every text and lists of many blocks."""
-    import random
-
-    monkeypatch.setattr(simhash, "PAIRED", 8)
-    rng = random.Random(3)
-    passage = [f"p{i}" for i in range(12)]
-    texts = [None, "", "a b", "A  b"]
-    for g in range(12):
-        base = [f"w{rng.randrange(500)}" for _ in range(rng.choice([30, 90, 200]))]
-        for _ in range(10):
-            own = list(base)
-            for _ in range(rng.randint(0, 4)):
-                own[rng.randrange(len(own))] = f"x{rng.randrange(10 ** 6)}"
-            texts.append(" ".join(own[:rng.randint(len(own) * 4 // 5, len(own))] + passage))
-    rng.shuffle(texts)
-    rows = list(enumerate(texts))
-    links, groups = brute.similar(rows, 5, 0.8)
-    fps = brute.simhashes(rows)
-    assert any((fps[a] ^ fps[b]).bit_count() > 4 for a, b in links)
-    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5, similarity=0.8)
-    assert sorted(r.doc_id for r in got.collect()) == sorted(set(groups.values()))
+    assert sorted(((r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()), key=str) == want
+
+
+def test_one_of_each_takes_any_columns(spark):
+    """Names that clash with inner ones, null and repeated keys, repeated rows, empty and very long texts, a smaller radius."""
+    rows = [(3, LONG, "a"), (1, LONG, "b"), (None, LONG, "c"), (None, "", "d"), (7, None, "e"), (7, None, "e"), (9, "own words of one text", "f"),
+            (9, "own words of one text", "f"), (8, LONG + " tail", "g")]
+    names = ["doc_id", "text", "lang", "row", "__row", "d", "k", "t", "fp", "component_id", "x"]
+    docs = spark.createDataFrame([(*r, *["clash"] * 8) for r in rows], "doc_id long, text string, " + ", ".join(f"{c} string" for c in names[2:]))
+    got = simhash.one_of_each(docs)
+    assert got.columns == names and all(r[3:] == ("clash",) * 8 for r in got.collect())
+    assert sorted((r.doc_id, r.lang) for r in got.collect()) == [(1, "b"), (7, "e"), (9, "f")]
+    assert simhash.one_of_each(docs.limit(0)).collect() == []
+    with pytest.raises(ValueError):
+        simhash.one_of_each(docs, radius=5)
 
 
 def test_simhash_triples():

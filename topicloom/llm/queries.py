@@ -53,7 +53,7 @@ def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, seed=42)
+    return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, radius=4, seed=42)
 
 
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,15 +14,12 @@ from ..operators.components import connected_components
 from ..session import cut
 from .common import prepare_texts, whole
 
-#: Bytes of a fingerprint, and the largest number of differing bits of a link.
+#: Bytes of a fingerprint, and the largest number of differing bits of a link that the index can find.
 BYTES, RADIUS = 8, 4
 #: Rows of one posting list that meet in one tile; longer lists are cut into blocks.
 BLOCK = 4_096
 #: Links that a task holds before it reduces them to a spanning forest.
 HELD_LINKS = 400_000
-#: Rows of a sample in which shingles of at least ``COMMON`` texts are looked for, so many of them at most, and rows of
-#: a block of a posting list of which all pairs are compared.
-SAMPLED, COMMON, MAX_COMMON, PAIRED = 20_000, 8, 200_000, 512
 
 
 def index_triples() -> list[tuple[int, int, int]]:
@@ -96,7 +93,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[moved], ids[label[moved]]
 
 
-def posting_links(tile: np.ndarray, fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def posting_links(tile: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Linked pairs among rows of equal ``tile`` (sorted): tally the shared positional bytes of each pair, keep those
     with as many as the radius guarantees, and count the differing bits of these."""
     left, s = np.arange(len(tile) - 1), 0
@@ -106,13 +103,13 @@ def posting_links(tile: np.ndarray, fp: np.ndarray) -> Iterator[tuple[np.ndarray
         left = left[tile[left] == tile[left + s]]
         differ = fp[left] ^ fp[left + s]
         shared = (differ.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
-        keep = np.flatnonzero((shared >= BYTES - RADIUS) & (differ != 0))
-        keep = keep[np.bitwise_count(differ[keep]) <= RADIUS]
+        keep = np.flatnonzero((shared >= BYTES - radius) & (differ != 0))
+        keep = keep[np.bitwise_count(differ[keep]) <= radius]
         if len(keep):
             yield fp[left[keep]], fp[left[keep] + s]
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, np.ndarray]] = []
     tile, fp = np.empty(0, np.int64), np.empty(0, np.uint64)
 
@@ -121,7 +118,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held[:] = [forest(*(np.concatenate(x) for x in zip(*held)))]
 
     def take(t: np.ndarray, f: np.ndarray) -> None:
-        for pair in posting_links(t, f):
+        for pair in posting_links(t, f, radius):
             held.append(pair)
             if sum(len(x) for x, _ in held) > HELD_LINKS:
                 reduced()
@@ -138,13 +135,16 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
 
-def near_links(fps: DataFrame) -> DataFrame:
-    """Links ``(u, v)`` that connect the distinct fingerprints ``fp`` which differ in at most four bits.
+def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Links ``(u, v)`` that connect the distinct fingerprints ``fp`` which differ in at most ``radius`` bits, four or fewer.
 
     Each fingerprint is posted under 20 triples of positional bytes. A posting list is compared in tiles of bounded
     size: a list of more than ``BLOCK`` rows is dealt into blocks by a hash and its pairs of blocks go to different
     tasks. A task returns a spanning forest of its links, never all pairs of a dense group.
     """
+    if not 0 <= radius <= RADIUS:
+        raise ValueError(f"the index finds links of at most {RADIUS} bits, not {radius}")
+
     def byte(i: int) -> Column:
         return F.shiftrightunsigned("fp", 8 * i).bitwiseAND(F.lit(255).cast("long"))
 
@@ -159,11 +159,12 @@ def near_links(fps: DataFrame) -> DataFrame:
     tile = F.when(F.col("blocks") == 1, F.col("key")).otherwise(
         F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
     dealt = dealt.select(tile.alias("tile"), "fp")
-    return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(_links, "u long, v long").distinct()
+    return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(lambda x: _links(x, radius), "u long, v long").distinct()
 
 
-def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
-    """``(key, fingerprint, component_id)`` per row of ``docs``: fingerprints link at four or fewer differing bits and
+def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = RADIUS,
+                    seed: int = 42) -> DataFrame:
+    """``(key, fingerprint, component_id)`` per row of ``docs``: fingerprints link at ``radius`` or fewer differing bits and
     ``component_id`` is the smallest key that can be reached.
 
     Documents of equal fingerprint are one vertex, so a group of copies costs one row. A text of fewer words than
@@ -174,7 +175,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     prepare_texts(docs.sparkSession)
     marked = cut(fingerprints(docs, key=key, text=text, shingle=shingle, seed=seed), "simhash-marks")
     fps = cut(marked.groupBy("fp").agg(F.min("k").alias("low")), "simhash-distinct")
-    roots = connected_components(cut(near_links(fps), "simhash-links"))
+    roots = connected_components(cut(near_links(fps, radius), "simhash-links"))
     members = fps.join(roots.withColumnRenamed("id", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = members.groupBy("root").agg(F.min("low").alias("component_id"))
     component = members.join(lowest, "root").select("fp", "component_id")
@@ -182,127 +183,18 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             .select(F.col("k").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def shingle_set(text: str, shingle: int, seed: int) -> np.ndarray:
-    """Distinct hashes of the shingles of the ASCII-lower-cased words, ascending; a shorter text is one shingle."""
-    import xxhash
-
-    words = text.encode().lower().split()
-    return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(words[i:i + shingle]), seed)
-                               for i in range(max(1, len(words) - shingle + 1) if words else 0)], np.uint64))
-
-
-def common_shingles(rows: DataFrame, text: str, shingle: int, seed: int) -> np.ndarray:
-    """Hashes found in many distinct texts of a bounded sample. They only set the order in which shingles are indexed,
-    so that a common passage is hardly ever; the result does not depend on them."""
-    share = min(1.0, SAMPLED / max(1, rows.count()))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t.as_py(), shingle, seed).view(np.int64))], ["h"])
-
-    sample = rows.where(F.pmod(F.xxhash64("__row"), F.lit(1_000_000)) < int(share * 1_000_000)).select(whole(text).alias("t")).distinct()
-    found = (sample.mapInArrow(count, "h long").groupBy("h").count().where(f"count >= {COMMON}")
-             .orderBy(F.desc("count"), "h").limit(MAX_COMMON).select("h").collect())
-    return np.sort(np.array([r.h for r in found], np.int64).view(np.uint64))
-
-
-def similar_pairs(found: DataFrame, left: str, right: str, similarity: float) -> Column:
-    """Whether sizes ``n`` and places ``i`` of a common shingle in both indexed orders leave room for the similarity."""
-    n, m, i, j = (F.col(f"{side}.{c}") for c in "ni" for side in (left, right))
-    shared = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
-    return (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-6) & (shared >= similarity / (1 + similarity) * (n + m) - 1e-6)
-
-
-def similar_groups(rows: DataFrame, *, text: str = "text", shingle: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
-    """``(__row, component_id)`` per row of a written table with distinct ``__row``: texts whose sets of word shingles have a
-    Jaccard similarity of at least ``similarity`` are linked. No such pair is missed.
-
-    Sets are compared in one order of all shingles, common ones last: two similar sets of ``n`` shingles share one among
-    their first ``n - ceil(similarity n) + 1``, which are posted (prefix filter). Of each posting list all rows are first
-    compared with one; then, where a list still spans several components, all pairs of these that were not compared.
-    Each candidate pair is settled by the exact Jaccard similarity of its texts' shingles. Equal sets are one vertex.
-    """
-    common = common_shingles(rows, text, shingle, seed)
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in batches:
-            out = []
-            for row, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                h = shingle_set(t.as_py(), shingle, seed)
-                often = np.isin(h, common)
-                n = len(h)
-                first = np.concatenate((h[~often], h[often]))[:n - int(np.ceil(similarity * n - 1e-6)) + 1]
-                out.append((row, xxhash.xxh64_intdigest(h.tobytes(), seed), n, first.view(np.int64)))
-            row, v, n, first = zip(*out) if out else ([], [], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(np.array(v, np.uint64).view(np.int64)), pa.array(n, pa.int64()),
-                                              pa.array(list(first), pa.list_(pa.int64()))], ["__row", "v", "n", "first"])
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column(2), batch.column(3)):
-                x, y = (shingle_set(t.as_py(), shingle, seed) for t in (a, b))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-6)
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    marked = cut(rows.select("__row", whole(text).alias("t")).mapInArrow(mark, "__row long, v long, n long, first array<long>"), "similar-marks")
-    one = marked.groupBy("v").agg(F.min("__row").alias("__row"))
-    posted = (marked.join(one.select("__row"), "__row", "left_semi")
-              .select("v", "n", F.posexplode("first").alias("i", "token")))
-    centre = F.min(F.struct(F.xxhash64("v").alias("o"), "v", "n", "i")).alias("c")
-    lists = posted.groupBy("token").agg(F.count(F.lit(1)).alias("size"), centre).where("size > 1")
-    listed = cut(posted.join(lists, "token").select("token", "size", F.struct("v", "n", "i").alias("x"), "c"), "similar-lists")
-    held = listed.select(F.col("x.v").alias("v")).distinct().join(one, "v")
-    texts = cut(held.join(rows.select("__row", whole(text).alias("t")), "__row").select("v", "t"), "similar-texts")
-
-    def settled(pairs: DataFrame, name: str) -> DataFrame:
-        of = pairs.join(texts.select(F.col("v").alias("u"), F.col("t").alias("tu")), "u").join(texts, "v")
-        return cut(of.select("u", "v", "tu", "t").mapInArrow(verify, "u long, v long"), name)
-
-    def ordered(found: DataFrame, a: str, b: str) -> DataFrame:
-        return (found.where(F.col(f"{a}.v") != F.col(f"{b}.v")).where(similar_pairs(found, a, b, similarity))
-                .select(F.least(f"{a}.v", f"{b}.v").alias("u"), F.greatest(f"{a}.v", f"{b}.v").alias("v")).distinct())
-
-    compared = cut(ordered(listed, "x", "c"), "similar-stars")
-    links = settled(compared, "similar-links")
-    roots = cut(connected_components(links), "similar-roots")
-    members = (listed.join(roots.select(F.col("id").alias("v"), "root"), listed["x.v"] == F.col("v"), "left")
-               .select("token", "size", "x", F.coalesce("root", "x.v").alias("root")))
-    several = members.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token")
-    blocks = F.ceil(F.col("size") / PAIRED).cast("int")
-    dealt = (members.join(several, "token").withColumn("blocks", blocks)
-             .withColumn("own", F.pmod(F.xxhash64("x.v"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")))
-    tile = ["token", "low", "high"]
-    met = (dealt.select(*tile, F.col("x").alias("p"), F.col("root").alias("p_root"), F.col("own").alias("p_own"))
-           .join(dealt.select(*tile, F.col("x").alias("q"), F.col("root").alias("q_root"), F.col("own").alias("q_own")), tile)
-           .where((F.col("p_root") != F.col("q_root")) & (F.col("p.v") < F.col("q.v")))
-           .where((F.col("low") == F.col("high")) | (F.col("p_own") != F.col("q_own"))))
-    rest = cut(ordered(met, "p", "q").join(compared, ["u", "v"], "left_anti"), "similar-rest")
-    every = connected_components(cut(links.unionByName(settled(rest, "similar-rest-links")), "similar-all"))
-    return (marked.select("__row", "v").join(every.withColumnRenamed("id", "v"), "v", "left")
-            .select("__row", F.coalesce("root", "v").alias("component_id")))
-
-
-def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 4, similarity: float | None = None,
+def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = RADIUS,
                 seed: int = 42) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: that of the smallest key; nulls are last.
+    """``docs`` with one row of each group of :func:`near_duplicates`: that of the smallest key; nulls are last.
 
-    Groups are those of :func:`near_duplicates`, or of :func:`similar_groups` if a ``similarity`` is given. Keys only choose
-    among the rows of a group: different texts with equal keys, or without one, all stay.
+    Keys only choose among the rows of a group: different texts with equal keys, or without one, all stay if no
+    fingerprint links them. Null and empty texts and those without a word are one group. All columns of ``docs``
+    pass through, whatever their names; an empty table gives an empty one.
     """
     prepare_texts(docs.sparkSession)
-    rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
-    if similarity is None:
-        groups = near_duplicates(rows, key="__row", text=text, shingle=shingle, seed=seed).select("__row", "component_id")
-    else:
-        groups = similar_groups(rows, text=text, shingle=shingle, similarity=similarity, seed=seed)
-    first = F.min(F.struct(F.col("k").isNull().alias("none"), "k", "__row")).alias("x")
-    kept = (groups.join(rows.select("__row", F.col(key).alias("k")), "__row").groupBy("component_id").agg(first)
-            .select("x.__row"))
-    return rows.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = cut(docs.select(F.struct("*").alias("d"), F.monotonically_increasing_id().alias("row")), "simhash-rows")
+    texts = rows.select("row", F.col(f"d.`{key}`").alias("k"), F.col(f"d.`{text}`").alias("t"))
+    groups = near_duplicates(texts, key="row", text="t", shingle=shingle, radius=radius, seed=seed).select("row", "component_id")
+    first = F.min(F.struct(F.col("k").isNull().alias("none"), "k", "row")).alias("x")
+    kept = groups.join(texts.select("row", "k"), "row").groupBy("component_id").agg(first).select("x.row")
+    return rows.join(kept, "row", "left_semi").select("d.*")
