@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from topicloom.llm import credentials, mixing, packing, simhash, toxicity
-from topicloom.session import cut
+from topicloom.llm.common import settled
+from topicloom.session import scratch_scope
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,7 +15,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs, shingle=5, similarity=0.8)
+    return simhash.one_of_each(docs, shingle=4, radius=4)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +43,9 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each reads what the one before has written."""
+    """Apply the stages to ``documents``; each reads what the one before has written, whose other tables are removed."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_scope(spark):
+            docs = settled(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
