@@ -14,7 +14,7 @@ from topicloom.functions.responses import community_label, response_label, respo
 from topicloom.operators.batch import document_rows, keep_first, merge_batch, with_age
 from topicloom.operators.labels import cluster_prompts, community_prompts
 from topicloom.operators.layers import split_clusters, split_communities
-from topicloom.operators.points import share_categories
+from topicloom.operators.lookup import share_categories
 from topicloom.operators.profile import central_documents, centroids, modal_flag, oversized, profiles
 from topicloom.sources.tables import daily_documents, live_clusters, read_table, require_complete, require_unique
 from topicloom.settings import TABLES

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from topicloom.operators.hierarchy import (core_distances, density_hierarchy, principal_axes, reduce_vectors,
                                            spanning_trees)
-from topicloom.operators.points import share_categories
+from topicloom.operators.lookup import share_categories
 from topicloom.settings import Metric
 
 PLAIN = Metric((("title_vec", 1.0),), 0.0, 0.0, 0.0, False, False)

@@ -9,7 +9,7 @@ from topicloom.operators.components import connected_components
 from topicloom.operators.dbscan import dbscan
 from topicloom.operators.neighbors import copy_edges, degrees, distinct_points, eps_edges, links, neighbor_counts, place
 from topicloom.operators.ordinal import number_keys, number_within
-from topicloom.operators.points import share_categories
+from topicloom.operators.lookup import share_categories
 from topicloom.settings import Metric
 
 METRIC = Metric((("title_vec", 0.8), ("content_vec", 0.1)), 0.1, 1.0, 1.0, True, False)
@@ -18,9 +18,12 @@ EPS = 0.5
 PLACEMENTS = [dict(), dict(block_rows=40, anchor_blocks=1000), dict(block_rows=25, anchor_blocks=1)]
 
 
-@pytest.fixture(scope="module")
-def categories(spark):
-    return share_categories(spark.createDataFrame(TABLE, "first_category string, second_category string, distance double"))
+@pytest.fixture(scope="module", params=["broadcast", "sent to tiles"])
+def categories(spark, request):
+    table = spark.createDataFrame(TABLE, "first_category string, second_category string, distance double")
+    found = share_categories(table, 0 if request.param != "broadcast" else None)
+    assert (found.shared is None) == (request.param != "broadcast")
+    return found
 
 
 def sample(n=240, seed=5):
@@ -181,12 +184,42 @@ def test_row_order_and_partitions_do_not_matter(spark, categories, truth):
     assert first == again
 
 
-def test_too_many_categories_are_refused(spark):
-    table = spark.range(2000).selectExpr("cast(id as string) first_category", "cast(id as string) second_category", "0.0D distance")
+def test_five_thousand_categories(spark):
+    """A vocabulary of any size gives the rows that its few different distances give, in both forms of the table."""
+    rng = np.random.default_rng(4)
+    names = [f"n{i}" for i in range(5_000)]
+    listed = {tuple(sorted(p)): float(d) for p, d in zip(((rng.choice(names), rng.choice(names)) for _ in range(20_000)), rng.uniform(0, 1, 20_000))}
+    listed |= {(n, n): 0.0 for n in names}
+    table = spark.createDataFrame([(b, a, d) if i % 2 else (a, b, d) for i, ((a, b), d) in enumerate(listed.items())],
+                                  "first_category string, second_category string, distance double")
+    ids = [f"i{i:03d}" for i in range(150)]
+    x = rng.normal(size=(150, 3)) * 0.25
+    cats = [[str(n) for n in rng.choice(names, rng.integers(0, 4), replace=False)] + ["not listed"] * (i % 7 == 0) for i in range(150)]
+    points = frame(spark, ids, ["p"] * 150, x, cats)
+
+    def apart(i, j):
+        cat = np.mean([listed.get(tuple(sorted((c, d))), 1.0) for c in cats[i] for d in cats[j]]) if cats[i] and cats[j] else 1.0
+        return round(0.9 * np.linalg.norm(x[i] - x[j]) + 0.1 * min(cat, 1.0), 9)
+
+    want = {(ids[j], ids[i]): apart(i, j) for i in range(150) for j in range(i) if apart(i, j) <= EPS}
+    for shared in (None, 1_000):
+        known = share_categories(table, shared)
+        for how in PLACEMENTS:
+            got = {(r.src, r.dst): r.distance for r in eps_edges(points, METRIC, EPS, known, **how).collect()}
+            assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-8 for k in got)
+
+
+def test_repeated_and_empty_category_tables(spark):
+    schema = "first_category string, second_category string, distance double"
     with pytest.raises(ValueError):
-        share_categories(table)
+        share_categories(spark.createDataFrame([], schema))
     with pytest.raises(ValueError):
-        share_categories(table.limit(0))
+        share_categories(spark.createDataFrame([("a", "b", None), ("a", "b", float("nan"))], schema))
+    known = share_categories(spark.createDataFrame([("b", "a", 0.5), ("a", "b", 0.3), ("a", "b", None), ("c", "c", 0.1)], schema))
+    from topicloom.operators.kernel import listed
+
+    assert listed(known.shared.value, ["a", "c", "x"], ["b", "c"], 1.0).tolist() == [[0.3, 1.0], [1.0, 0.1], [1.0, 1.0]]
+    assert listed(known.shared.value, [], ["b"], 1.0).shape == (0, 1)
 
 
 def test_null_and_ragged_vectors_are_refused():

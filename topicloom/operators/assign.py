@@ -9,7 +9,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +20,7 @@ from ..session import BROADCAST_ROWS, BROADCAST_VALUES, cut, rows_within
 from ..settings import (CLUSTER_FLAT, CLUSTER_SHARED, DOC_CONTENT, DOC_TITLE, EPS_CLUSTER_FLAT,
                         EPS_CLUSTER_SHARED, EPS_DOC_CONTENT, EPS_DOC_TITLE, Metric)
 from .kernel import Block, exact, near
+from .lookup import CategoryPairs
 from .points import cluster_points, doc_points
 
 #: Rows of each side of a tile when the topics are too many to broadcast.
@@ -43,7 +43,7 @@ COMMUNITY_RULES = (Rule(CLUSTER_SHARED, EPS_CLUSTER_SHARED), Rule(CLUSTER_FLAT,
 _MATCH = "id string, topic string, distance double, method string"
 
 
-def best_matches(points: DataFrame, topics: DataFrame, rules: tuple[Rule, ...], categories: Broadcast,
+def best_matches(points: DataFrame, topics: DataFrame, rules: tuple[Rule, ...], categories: CategoryPairs,
                  pick: str = "nearest", broadcast_rows: int = BROADCAST_ROWS, side_rows: int = SIDE_ROWS) -> DataFrame:
     """Per point the best matching topic: ``(id, topic, distance, method)``; points without a match
     are absent. Ties go to the smaller topic id, then to the earlier rule.
@@ -56,7 +56,7 @@ def best_matches(points: DataFrame, topics: DataFrame, rules: tuple[Rule, ...],
     sign = 1.0 if pick == "nearest" else -1.0
     columns = sorted({c for r in rules for c in r.metric.columns})
 
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+    def compare(left: pa.Table, right: pa.Table, listed: dict) -> pa.Table:
         a, b = Block(left, columns), Block(right, columns)
         rank = np.full(len(a), np.inf)
         topic = np.full(len(a), -1)
@@ -66,7 +66,7 @@ def best_matches(points: DataFrame, topics: DataFrame, rules: tuple[Rule, ...],
                     else np.full(len(b), -np.inf))
             edge = np.where(np.isnan(edge), -np.inf, edge)
             bound = np.maximum(edge, rule.threshold)
-            for i, j, _, _, terms in near(a, b, rule.metric, categories.value, bound):
+            for i, j, _, _, terms in near(a, b, rule.metric, listed, bound):
                 d = exact(a, b, i, j, rule.metric, terms)
                 keep = d < bound[j]
                 i, j, d = i[keep], j[keep], d[keep]
@@ -90,14 +90,14 @@ def best_matches(points: DataFrame, topics: DataFrame, rules: tuple[Rule, ...],
     few = rows_within(topics, broadcast_rows)
     if few == 0:
         return points.sparkSession.createDataFrame([], _MATCH)
-    if few is not None:
+    if few is not None and categories.shared is not None:
         head = topics.select(sum((F.size(c) for c in columns), F.lit(0)).alias("n")).first()["n"]
         if few * head <= BROADCAST_VALUES:
-            shared = points.sparkSession.sparkContext.broadcast(topics.toArrow().sort_by("id"))
+            shared, pairs = points.sparkSession.sparkContext.broadcast(topics.toArrow().sort_by("id")), categories.shared
 
             def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
-                    yield from compare(pa.Table.from_batches([batch]), shared.value).to_batches()
+                    yield from compare(pa.Table.from_batches([batch]), shared.value, pairs.value).to_batches()
             return points.mapInArrow(scan, _MATCH)
 
     rows = max(1, math.ceil(points.count() / side_rows))
@@ -111,11 +111,14 @@ def best_matches(points: DataFrame, topics: DataFrame, rules: tuple[Rule, ...],
 
     both = dealt(points, rows, cols, 0).unionByName(dealt(topics, cols, rows, 1), allowMissingColumns=True)
 
+    read = categories.reader()
+
     def run(table: pa.Table) -> pa.Table:
+        table, listed = read(table)
         side = table.column("side")
-        return compare(table.filter(pc.equal(side, 0)), table.filter(pc.equal(side, 1)).sort_by("id"))
+        return compare(table.filter(pc.equal(side, 0)), table.filter(pc.equal(side, 1)).sort_by("id"), listed)
 
-    candidates = both.groupBy("tile").applyInArrow(run, _MATCH)
+    candidates = categories.sent(both.withColumn("part", F.lit(""))).groupBy("tile").applyInArrow(run, _MATCH)
     best = F.min(F.struct((F.lit(sign) * F.col("distance")).alias("rank"), "topic", "method")).alias("m")
     return candidates.groupBy("id").agg(best).select(
         "id", F.col("m.topic").alias("topic"), (F.lit(sign) * F.col("m.rank")).alias("distance"),
@@ -129,7 +132,7 @@ def central_points(clusters: DataFrame, key: str = "cluster_id") -> DataFrame:
     return doc_points(head, key, keep=("border0", "border1"))
 
 
-def assign_documents(docs: DataFrame, clusters: DataFrame, categories: Broadcast, *, pick: str = "nearest",
+def assign_documents(docs: DataFrame, clusters: DataFrame, categories: CategoryPairs, *, pick: str = "nearest",
                      use_borders: bool = True, **sizes) -> DataFrame:
     """Documents to live clusters: ``(url, cluster_id, distance, method)``.
 
@@ -140,7 +143,7 @@ def assign_documents(docs: DataFrame, clusters: DataFrame, categories: Broadcast
     return found.select(F.col("id").alias("url"), F.col("topic").alias("cluster_id"), "distance", "method")
 
 
-def append_to_communities(clusters: DataFrame, communities: DataFrame, categories: Broadcast, **sizes) -> DataFrame:
+def append_to_communities(clusters: DataFrame, communities: DataFrame, categories: CategoryPairs, **sizes) -> DataFrame:
     """Clusters to live communities: ``(cluster_id, community_id, distance)``, nearest wins."""
     found = best_matches(cluster_points(clusters), cluster_points(communities, "community_id"),
                          COMMUNITY_RULES, categories, **sizes)

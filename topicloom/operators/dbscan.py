@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
 from ..settings import MIN_SAMPLES, Metric
 from .components import connected_components
+from .lookup import CategoryPairs
 from .neighbors import core_points, links, smallest_roots
 
 
-def dbscan(points: DataFrame, metric: Metric, eps: float, categories: Broadcast,
+def dbscan(points: DataFrame, metric: Metric, eps: float, categories: CategoryPairs,
            min_samples: int = MIN_SAMPLES, **sizes) -> DataFrame:
     """``(part, id, root)`` of clustered points; points left out are noise.
 
@@ -36,7 +36,7 @@ def dbscan(points: DataFrame, metric: Metric, eps: float, categories: Broadcast,
     return rooted.select("part", "id", "root").unionByName(border)
 
 
-def _connected(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, **sizes) -> DataFrame:
+def _connected(points: DataFrame, metric: Metric, eps: float, categories: CategoryPairs, **sizes) -> DataFrame:
     found, final = links(points, metric, eps, categories, **sizes)
     found = cut(found.select(F.col("node").alias("u"), F.col("root").alias("v")), "links")
     if final:

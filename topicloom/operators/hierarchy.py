@@ -13,7 +13,6 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.broadcast import Broadcast
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -24,6 +23,7 @@ from ..functions.vectors import dot
 from ..session import cut, is_empty
 from ..settings import OUTLIER_ALPHA, Metric
 from .components import connected_components
+from .lookup import CategoryPairs
 from .kernel import spanning_tree, strips, vectors
 from .neighbors import _blocks, _empty, place
 from .ordinal import number_keys, number_within
@@ -85,17 +85,20 @@ def reduce_vectors(rows: DataFrame, part: str, vector: str, k: int = 2, name: st
             .withColumn(name, F.transform("axes", lambda axis: dot(axis, F.col("__c")))).drop("mean", "axes", "__c"))
 
 
-def core_distances(points: DataFrame, metric: Metric, categories: Broadcast, k: int, **sizes) -> DataFrame:
+def core_distances(points: DataFrame, metric: Metric, categories: CategoryPairs, k: int, **sizes) -> DataFrame:
     """``(part, id, core)``: distance to the k-th nearest other point of the part (or the farthest
     one, if there are fewer). Each tile sends at most k numbers per point."""
     tiles = place(points, metric, float("inf"), categories, connect=False, **sizes)
 
+    read = categories.reader()
+
     def run(table: pa.Table) -> pa.Table:
+        table, listed = read(table)
         out = []
         for part, a, b, same, _, _ in _blocks(table, metric):
             for x, y in ([(a, b)] if same else [(a, b), (b, a)]):
                 near = np.full((len(x), k), np.inf)
-                for start, d in strips(x, y, metric, categories.value):
+                for start, d in strips(x, y, metric, listed):
                     if same:
                         d[np.arange(len(d)), start + np.arange(len(d))] = np.inf
                     near[start:start + len(d)] = np.sort(np.concatenate([np.full((len(d), k), np.inf), d], axis=1), axis=1)[:, :k]
@@ -104,25 +107,28 @@ def core_distances(points: DataFrame, metric: Metric, categories: Broadcast, k:
                                                       pa.list_(pa.float64()))}))
         return pa.concat_tables(out) if out else _empty("part", "id", near=pa.list_(pa.float64()))
 
-    near = tiles.rows.groupBy("tile").applyInArrow(run, "part string, id string, near array<double>")
+    near = categories.sent(tiles.rows).groupBy("tile").applyInArrow(run, "part string, id string, near array<double>")
     best = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k)
     return near.groupBy("part", "id").agg(best.alias("n")).select(
         "part", "id", F.coalesce(F.array_max("n"), F.lit(0.0)).alias("core"))
 
 
-def spanning_trees(points: DataFrame, metric: Metric, categories: Broadcast, **sizes) -> DataFrame:
+def spanning_trees(points: DataFrame, metric: Metric, categories: CategoryPairs, **sizes) -> DataFrame:
     """Minimum spanning tree of the mutual reachability graph of every part: ``(part, u, v, w)``.
     ``points`` carry ``core``. A tree of the whole lies inside the union of the tiles' trees."""
     tiles = place(points, metric, float("inf"), categories, connect=False, **sizes)
 
+    read = categories.reader()
+
     def run(table: pa.Table) -> pa.Table:
+        table, listed = read(table)
         out = []
         for part, a, b, same, left, right in _blocks(table, metric, ordered=True):
             n, shift = len(a), 0 if same else len(a)
             ids = a.ids if same else np.concatenate([a.ids, b.ids])
             core_a, core_b = left.column("core").to_numpy(), right.column("core").to_numpy()
             cost = np.full((len(ids), len(ids)), np.inf)
-            for start, d in strips(a, b, metric, categories.value):
+            for start, d in strips(a, b, metric, listed):
                 rows = slice(start, start + len(d))
                 reach = np.maximum(np.maximum(core_a[rows, None], core_b[None, :]), d)
                 cost[rows, shift:shift + len(b)] = reach
@@ -136,7 +142,7 @@ def spanning_trees(points: DataFrame, metric: Metric, categories: Broadcast, **s
                                  "v": pa.array(np.maximum(x, y), pa.string()), "w": pa.array(w, pa.float64())}))
         return pa.concat_tables(out) if out else _empty("part", "u", "v", w=pa.float64())
 
-    found = cut(tiles.rows.groupBy("tile").applyInArrow(run, "part string, u string, v string, w double"), "tile-trees")
+    found = cut(categories.sent(tiles.rows).groupBy("tile").applyInArrow(run, "part string, u string, v string, w double"), "tile-trees")
     return found if tiles.single else _boruvka(found)
 
 
@@ -301,7 +307,7 @@ def _topmost(nodes: DataFrame) -> DataFrame:
         walk = longer.select("node", F.col("__u").alias("up"), F.coalesce("__t", "top").alias("top"))
 
 
-def density_hierarchy(points: DataFrame, metric: Metric, categories: Broadcast, min_cluster_size: int = 2,
+def density_hierarchy(points: DataFrame, metric: Metric, categories: CategoryPairs, min_cluster_size: int = 2,
                       batch_edges: int = BATCH_EDGES, **sizes) -> DataFrame:
     """``(part, id, root)`` of points clustered by their density hierarchy inside each part; ``root``
     is the smallest id of the cluster."""
@@ -314,7 +320,7 @@ def density_hierarchy(points: DataFrame, metric: Metric, categories: Broadcast,
     return found.join(roots, ["part", "node"]).select("part", "id", "root")
 
 
-def split_outliers(docs: DataFrame, categories: Broadcast, day: dt.date, n_clusters: int, *,
+def split_outliers(docs: DataFrame, categories: CategoryPairs, day: dt.date, n_clusters: int, *,
                    vector: str = "content_embedding", alpha: float = OUTLIER_ALPHA, **sizes) -> DataFrame:
     """``(url, old, new)`` of all documents in clusters whose size is an outlier: the content vector
     is reduced to two dimensions and the cluster is split by its density hierarchy. New clusters are

@@ -17,21 +17,26 @@ STRIP = 512
 PAIRS = 65_536
 
 
-def category_table(names: list[str], matrix: np.ndarray) -> dict:
-    """Category distances for tasks: a name index and a dense matrix (NaN = not listed). Plain
-    values, so that executors need nothing but numpy to read the broadcast."""
-    padded = np.full((len(names) + 1, len(names) + 1), np.nan)
-    padded[:-1, :-1] = matrix
-    return {"index": {n: i for i, n in enumerate(names)}, "matrix": padded}
+def category_table(first: list[str], second: list[str], distance: list[float]) -> dict:
+    """Category distances for tasks: a name index and the listed pairs as sorted codes. Plain values, so that executors
+    need nothing but numpy to read a broadcast."""
+    index = {n: i for i, n in enumerate(sorted({*first, *second}))}
+    x, y = (np.fromiter((index[n] for n in names), np.int64, len(names)) for names in (first, second))
+    codes = np.minimum(x, y) * len(index) + np.maximum(x, y)
+    order = np.argsort(codes, kind="stable")
+    return {"index": index, "codes": codes[order], "distances": np.asarray(distance, dtype=float)[order]}
 
 
 def listed(categories: dict, left: list[str], right: list[str], missing: float) -> np.ndarray:
     """Distances between two name lists, ``missing`` where the table has none."""
-    index = categories["index"]
-    rows = np.array([index.get(n, len(index)) for n in left], dtype=np.int64)
-    cols = np.array([index.get(n, len(index)) for n in right], dtype=np.int64)
-    found = categories["matrix"][np.ix_(rows, cols)]
-    return np.where(np.isnan(found), missing, found)
+    index, codes = categories["index"], categories["codes"]
+    rows, cols = (np.array([index.get(n, -1) for n in names], dtype=np.int64) for names in (left, right))
+    low, high = np.minimum.outer(rows, cols), np.maximum.outer(rows, cols)
+    if not len(codes) or not low.size:
+        return np.full(low.shape, missing)
+    wanted = low * len(index) + high
+    place = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
+    return np.where((low >= 0) & (codes[place] == wanted), categories["distances"][place], missing)
 
 
 def vectors(table: pa.Table, column: str) -> np.ndarray:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from ..settings import (CLUSTER_FLAT, CLUSTER_SHARED, DOC_CONTENT, DOC_TITLE, EP
                         EPS_CLUSTER_SHARED, EPS_DOC_CONTENT, EPS_DOC_TITLE, MIN_SAMPLES, OUTLIER_ALPHA, Metric)
 from .dbscan import dbscan
 from .ordinal import number_keys, number_within
+from .lookup import CategoryPairs
 from .points import cluster_points, doc_points
 from .profile import modal_flag, oversized
 
@@ -25,7 +25,7 @@ def labelled(members: DataFrame, day: dt.date, start: int = 0) -> DataFrame:
     return members.join(numbers.select("root", "topic"), "root").select("id", "topic")
 
 
-def first_layer(docs: DataFrame, categories: Broadcast, day: dt.date, *, metric: Metric = DOC_TITLE,
+def first_layer(docs: DataFrame, categories: CategoryPairs, day: dt.date, *, metric: Metric = DOC_TITLE,
                 eps: float = EPS_DOC_TITLE, min_samples: int = MIN_SAMPLES, **sizes) -> DataFrame:
     """``(url, cluster, first_layer)`` for every document; noise gets the day's noise id."""
     found = labelled(dbscan(doc_points(docs), metric, eps, categories, min_samples, **sizes), day)
@@ -33,7 +33,7 @@ def first_layer(docs: DataFrame, categories: Broadcast, day: dt.date, *, metric:
         "url", F.coalesce("topic", noise_id(F.lit(day))).alias("cluster"), F.col("topic").isNotNull().alias("first_layer"))
 
 
-def second_layer(docs: DataFrame, categories: Broadcast, day: dt.date, n_clusters: int, *,
+def second_layer(docs: DataFrame, categories: CategoryPairs, day: dt.date, n_clusters: int, *,
                  metric: Metric = DOC_TITLE, eps: float = EPS_DOC_CONTENT, min_samples: int = MIN_SAMPLES,
                  **sizes) -> DataFrame:
     """Cluster the noise of ``docs`` (which carry ``cluster``) with the wider radius:
@@ -62,7 +62,7 @@ def split_parts(docs: DataFrame, members: DataFrame, day: dt.date, key: str = "u
     return inner.select(key, F.col(part).alias("old"), fresh.alias("new"))
 
 
-def split_clusters(docs: DataFrame, categories: Broadcast, day: dt.date, **sizes) -> DataFrame:
+def split_clusters(docs: DataFrame, categories: CategoryPairs, day: dt.date, **sizes) -> DataFrame:
     """Re-cluster inside every cluster and return ``(url, old, new)`` of the clusters that split.
 
     Clusters whose documents mostly come from the second layer use the content metric, those mostly
@@ -79,7 +79,7 @@ def split_clusters(docs: DataFrame, categories: Broadcast, day: dt.date, **sizes
     return split_parts(chosen, members, day)
 
 
-def create_communities(clusters: DataFrame, categories: Broadcast, day: dt.date, *, metric: Metric = CLUSTER_SHARED,
+def create_communities(clusters: DataFrame, categories: CategoryPairs, day: dt.date, *, metric: Metric = CLUSTER_SHARED,
                        eps: float = EPS_CLUSTER_SHARED, min_samples: int = MIN_SAMPLES, **sizes) -> DataFrame:
     """``(cluster_id, community_id)`` for every cluster; noise gets the day's noise id."""
     found = labelled(dbscan(cluster_points(clusters), metric, eps, categories, min_samples, **sizes), day)
@@ -87,7 +87,7 @@ def create_communities(clusters: DataFrame, categories: Broadcast, day: dt.date,
         "cluster_id", F.coalesce("topic", noise_id(F.lit(day))).alias("community_id"))
 
 
-def split_communities(clusters: DataFrame, categories: Broadcast, day: dt.date, alpha: float = OUTLIER_ALPHA,
+def split_communities(clusters: DataFrame, categories: CategoryPairs, day: dt.date, alpha: float = OUTLIER_ALPHA,
                       **sizes) -> DataFrame:
     """``(cluster_id, old, new)`` of all clusters in communities whose summed size is an outlier."""
     totals = clusters.groupBy("community_id").agg(F.sum("size").alias("size"))

@@ -24,13 +24,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
 from ..settings import DIGITS, Metric
-from .kernel import Block, category_terms, exact, unite, within
+from .kernel import Block, category_table, category_terms, exact, unite, within
+from .lookup import CategoryPairs
 
 #: Rows of a block: the larger the blocks, the fewer copies of a row are shuffled; the bound keeps a
 #: task at two blocks of moderate size. Small tables use small blocks to have tiles for all cores.
@@ -66,7 +66,7 @@ def block_size(points: DataFrame, metric: Metric, rows: int) -> int:
     return max(256, min(wanted, BLOCK_VALUES // max(1, width)))
 
 
-def place(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, *, connect: bool,
+def place(points: DataFrame, metric: Metric, eps: float, categories: CategoryPairs, *, connect: bool,
           block_rows: int | None = None, anchor_blocks: int = ANCHOR_BLOCKS) -> Tiles:
     """Replicate points to the tiles they must be compared in. With ``connect`` solid groups are
     left out and their links returned."""
@@ -93,6 +93,9 @@ def place(points: DataFrame, metric: Metric, eps: float, categories: Broadcast,
             *points.columns, F.col("__t.tile").alias("tile"), F.col("__t.side").alias("side"))
         return Tiles(small_rows.unionByName(rows), None, False)
 
+    # Points are compared with anchors before there are tiles. A table that is sent to tiles counts as one that lists
+    # nothing there, which finds only links that exist, if nothing is further apart than what is not listed.
+    connect = connect and (categories.shared is not None or metric.missing >= 1 and not metric.cap)
     anchors = min(MANY_ANCHORS, max(FEW_ANCHORS, 8 * bins))
     rows, links = _place_by_anchors(points.join(large.select("part"), "part", "left_semi"), points.columns,
                                     metric, eps, categories, connect, block_rows, anchors)
@@ -100,12 +103,13 @@ def place(points: DataFrame, metric: Metric, eps: float, categories: Broadcast,
 
 
 def _place_by_anchors(points: DataFrame, columns: list[str], metric: Metric, eps: float,
-                      categories: Broadcast, connect: bool, block_rows: int, anchors: int) -> tuple[DataFrame, DataFrame | None]:
+                      categories: CategoryPairs, connect: bool, block_rows: int, anchors: int) -> tuple[DataFrame, DataFrame | None]:
     sample = (points.select("id", "part", *metric.columns, "cats", "shares")
               .orderBy(F.xxhash64("id"), "id").limit(anchors).toArrow())
     owner = np.asarray(sample.column("part").to_pylist(), dtype=object)
     anchor_ids = sample.column("id").to_pylist()
     gate, gate_weight = metric.gate
+    shared, unlisted = categories.shared, category_table([], [], [])
 
     def annotate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,7 +141,7 @@ def _place_by_anchors(points: DataFrame, columns: list[str], metric: Metric, eps
                     bound[at[mine[0]]] = spread.tolist()
                 if connect:
                     first = np.full(len(at), len(to))
-                    pairs = [(i, j) for i, j, _ in within(x, a, metric, categories.value, eps)]
+                    pairs = [(i, j) for i, j, _ in within(x, a, metric, shared.value if shared else unlisted, eps)]
                     i = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, int)
                     j = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0, int)
                     np.minimum.at(first, i, j)
@@ -234,7 +238,7 @@ def _blocks(table: pa.Table, metric: Metric, ordered: bool = False) -> Iterator[
             yield part, Block(left, metric.columns), Block(right, metric.columns), False, left, right
 
 
-def eps_edges(points: DataFrame, metric: Metric, eps: float, categories: Broadcast,
+def eps_edges(points: DataFrame, metric: Metric, eps: float, categories: CategoryPairs,
               distance: Callable[[Column, Column], Column] | None = None, **sizes) -> DataFrame:
     """Every pair at distance ≤ eps: ``(part, src, dst, distance)`` with ``src < dst``.
 
@@ -245,10 +249,13 @@ def eps_edges(points: DataFrame, metric: Metric, eps: float, categories: Broadca
         return _own_distance_edges(points, metric, eps, categories, distance, **sizes)
     tiles = place(points, metric, eps, categories, connect=False, **sizes)
 
+    read = categories.reader()
+
     def run(table: pa.Table) -> pa.Table:
+        table, listed = read(table)
         out = []
         for part, a, b, same, _, _ in _blocks(table, metric):
-            for i, j, d in within(a, b, metric, categories.value, eps, half=same, distances=True):
+            for i, j, d in within(a, b, metric, listed, eps, half=same, distances=True):
                 left, right = a.ids[i], b.ids[j]
                 out.append(pa.table({
                     "part": pa.array([part] * len(d), pa.string()),
@@ -257,7 +264,7 @@ def eps_edges(points: DataFrame, metric: Metric, eps: float, categories: Broadca
                     "distance": pa.array(d, pa.float64())}))
         return pa.concat_tables(out) if out else _empty("part", "src", "dst", distance=pa.float64())
 
-    return tiles.rows.groupBy("tile").applyInArrow(run, "part string, src string, dst string, distance double")
+    return categories.sent(tiles.rows).groupBy("tile").applyInArrow(run, "part string, src string, dst string, distance double")
 
 
 def _own_distance_edges(points, metric, eps, categories, distance, **sizes) -> DataFrame:
@@ -279,7 +286,7 @@ def distinct_points(points: DataFrame) -> DataFrame:
     return points.groupBy(*keys).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
 
 
-def copy_edges(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, **sizes) -> DataFrame:
+def copy_edges(points: DataFrame, metric: Metric, eps: float, categories: CategoryPairs, **sizes) -> DataFrame:
     """Edges between distinct points with the number of copies at either end: the whole ε-graph
     without its pairs of copies: ``(part, src, dst, distance, src_copies, dst_copies)``."""
     unique = cut(distinct_points(points), "distinct")
@@ -289,7 +296,7 @@ def copy_edges(points: DataFrame, metric: Metric, eps: float, categories: Broadc
     return found.select("part", "src", "dst", "distance", "src_copies", "dst_copies")
 
 
-def neighbor_counts(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, **sizes) -> DataFrame:
+def neighbor_counts(points: DataFrame, metric: Metric, eps: float, categories: CategoryPairs, **sizes) -> DataFrame:
     """``(part, id, n)`` as :func:`degrees`, but copies are counted once and then handed their count."""
     unique = cut(distinct_points(points), "distinct")
     counted = unique.join(degrees(unique, metric, eps, categories, **sizes), ["part", "id"])
@@ -297,23 +304,26 @@ def neighbor_counts(points: DataFrame, metric: Metric, eps: float, categories: B
     return points.join(counted.select(*keys, "n"), keys).select("part", "id", "n")
 
 
-def degrees(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, **sizes) -> DataFrame:
+def degrees(points: DataFrame, metric: Metric, eps: float, categories: CategoryPairs, **sizes) -> DataFrame:
     """``(part, id, n)``: neighbours within eps of every point, itself included; a column ``copies``
     tells how often each point counts. One row per point leaves each tile, never one per pair."""
     tiles = place(points, metric, eps, categories, connect=False, **sizes)
 
+    read = categories.reader()
+
     def run(table: pa.Table) -> pa.Table:
+        table, listed = read(table)
         out = []
         for part, a, b, same, left, right in _blocks(table, metric):
             n, m = np.zeros(len(a)), np.zeros(len(b))
             x, y = _copies(left), _copies(right)
-            for i, j, _ in within(a, b, metric, categories.value, eps, half=same):
+            for i, j, _ in within(a, b, metric, listed, eps, half=same):
                 n += np.bincount(i, weights=y[j], minlength=len(a))
                 m += np.bincount(j, weights=x[i], minlength=len(b))
             if same:
                 # the point itself, and its copies if they are within eps of each other
                 every = np.arange(len(a))
-                terms = category_terms(a, a, metric, categories.value)
+                terms = category_terms(a, a, metric, listed)
                 n += m + np.where(exact(a, a, every, every, metric, terms) <= eps, x, 1)
             sides = [(a.ids, n)] if same else [(a.ids, n), (b.ids, m)]
             for ids, count in sides:
@@ -321,11 +331,11 @@ def degrees(points: DataFrame, metric: Metric, eps: float, categories: Broadcast
                                      "id": pa.array(ids, pa.string()), "n": pa.array(count.astype(np.int64), pa.int64())}))
         return pa.concat_tables(out) if out else _empty("part", "id", n=pa.int64())
 
-    partial = tiles.rows.groupBy("tile").applyInArrow(run, "part string, id string, n long")
+    partial = categories.sent(tiles.rows).groupBy("tile").applyInArrow(run, "part string, id string, n long")
     return partial.groupBy("part", "id").agg(F.sum("n").alias("n"))
 
 
-def core_points(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, k: int,
+def core_points(points: DataFrame, metric: Metric, eps: float, categories: CategoryPairs, k: int,
                 block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(part, id, core)``: does a point have k neighbours, itself included?
 
@@ -340,61 +350,71 @@ def core_points(points: DataFrame, metric: Metric, eps: float, categories: Broad
     alone = (points.join(sizes, "part").withColumn("tile", F.when(blocks == 1, packed).otherwise(own))
              .withColumn("side", F.lit(BOTH)).withColumn("whole", blocks == 1).drop("__n"))
 
+    read = categories.reader()
+
     def inside(table: pa.Table) -> pa.Table:
+        table, listed = read(table)
         out = []
         for part, a, b, _, left, _ in _blocks(table, metric):
             n = np.ones(len(a), np.int64)
-            for i, j, _ in within(a, b, metric, categories.value, eps, half=True):
+            for i, j, _ in within(a, b, metric, listed, eps, half=True):
                 n += np.bincount(i, minlength=len(a)) + np.bincount(j, minlength=len(a))
             out.append(pa.table({"part": pa.array([part] * len(a), pa.string()), "id": pa.array(a.ids, pa.string()),
                                  "core": pa.array(n >= k), "known": pa.array((n >= k) | left.column("whole").to_numpy())}))
         return pa.concat_tables(out) if out else _empty("part", "id", core=pa.bool_(), known=pa.bool_())
 
-    first = cut(alone.groupBy("tile").applyInArrow(inside, "part string, id string, core boolean, known boolean"), "core-first")
+    first = cut(categories.sent(alone).groupBy("tile").applyInArrow(inside, "part string, id string, core boolean, known boolean"), "core-first")
     doubtful = points.join(first.where("not known").select("id"), "id", "left_semi")
 
     def across(table: pa.Table) -> pa.Table:
+        table, listed = read(table)
         out = []
         for part, a, b, _, _, _ in _blocks(table, metric):
             n = np.zeros(len(a), np.int64)
-            for i, j, _ in within(a, b, metric, categories.value, eps):
+            for i, j, _ in within(a, b, metric, listed, eps):
                 # the point itself is among the right ones
                 n += np.bincount(i[a.ids[i] != b.ids[j]], minlength=len(a))
             out.append(pa.table({"part": pa.array([part] * len(a), pa.string()), "id": pa.array(a.ids, pa.string()),
                                  "n": pa.array(n, pa.int64())}))
         return pa.concat_tables(out) if out else _empty("part", "id", n=pa.int64())
 
-    counted = (place_across(doubtful, points, block_rows).groupBy("tile").applyInArrow(across, "part string, id string, n long")
+    counted = (categories.sent(place_across(doubtful, points, block_rows)).groupBy("tile").applyInArrow(across, "part string, id string, n long")
                .groupBy("part", "id").agg((F.sum("n") + 1 >= k).alias("core")))
     return first.where("known").select("part", "id", "core").unionByName(counted)
 
 
-def smallest_roots(points: DataFrame, rooted: DataFrame, metric: Metric, eps: float, categories: Broadcast,
+def smallest_roots(points: DataFrame, rooted: DataFrame, metric: Metric, eps: float, categories: CategoryPairs,
                    block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(part, id, root)``: the smallest ``root`` among the ``rooted`` points within eps of each
     point. One row per point and tile leaves a task."""
+    read = categories.reader()
+
     def run(table: pa.Table) -> pa.Table:
+        table, listed = read(table)
         out = []
         for part, a, b, _, _, right in _blocks(table, metric):
             names, code = np.unique(np.asarray(right.column("root").to_pylist(), dtype=object), return_inverse=True)
             best = np.full(len(a), len(names))
-            for i, j, _ in within(a, b, metric, categories.value, eps):
+            for i, j, _ in within(a, b, metric, listed, eps):
                 np.minimum.at(best, i, code[j])
             hit = np.nonzero(best < len(names))[0]
             out.append(pa.table({"part": pa.array([part] * len(hit), pa.string()), "id": pa.array(a.ids[hit], pa.string()),
                                  "root": pa.array(names[best[hit]], pa.string())}))
         return pa.concat_tables(out) if out else _empty("part", "id", "root")
 
-    found = place_across(points, rooted, block_rows).groupBy("tile").applyInArrow(run, "part string, id string, root string")
+    found = categories.sent(place_across(points, rooted, block_rows)).groupBy("tile").applyInArrow(run, "part string, id string, root string")
     return found.groupBy("part", "id").agg(F.min("root").alias("root"))
 
 
-def links(points: DataFrame, metric: Metric, eps: float, categories: Broadcast, **sizes) -> tuple[DataFrame, bool]:
+def links(points: DataFrame, metric: Metric, eps: float, categories: CategoryPairs, **sizes) -> tuple[DataFrame, bool]:
     """Links with the same connected components as the ε-graph: ``(node, root)``. The flag tells that
     no component spans two tiles, so every ``root`` is final."""
     tiles = place(points, metric, eps, categories, connect=True, **sizes)
 
+    read = categories.reader()
+
     def run(table: pa.Table) -> pa.Table:
+        table, listed = read(table)
         out = []
         for _, a, b, same, _, _ in _blocks(table, metric):
             ids = a.ids if same else np.concatenate([a.ids, b.ids])
@@ -403,14 +423,14 @@ def links(points: DataFrame, metric: Metric, eps: float, categories: Broadcast,
             rank[order] = np.arange(len(ids))
             shift = 0 if same else len(a)
             label = np.arange(len(ids))
-            for i, j, _ in within(a, b, metric, categories.value, eps, half=same):
+            for i, j, _ in within(a, b, metric, listed, eps, half=same):
                 unite(label, rank[i], rank[j + shift])
             moved = np.nonzero(label != np.arange(len(ids)))[0]
             names = ids[order]
             out.append(pa.table({"node": pa.array(names[moved], pa.string()), "root": pa.array(names[label[moved]], pa.string())}))
         return pa.concat_tables(out) if out else _empty("node", "root")
 
-    found = tiles.rows.groupBy("tile").applyInArrow(run, "node string, root string")
+    found = categories.sent(tiles.rows).groupBy("tile").applyInArrow(run, "node string, root string")
     if tiles.links is not None:
         found = found.unionByName(tiles.links)
     return found, tiles.single

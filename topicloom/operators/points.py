@@ -6,18 +6,10 @@
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.categories import equal_shares, known, leading_shares
-from ..session import prepare
-from .kernel import category_table
-
-#: Largest category vocabulary that is turned into a dense task-side matrix (18 MB).
-VOCABULARY = 1_500
-
 
 def doc_points(docs: DataFrame, key: str = "url", part: str | None = None,
                title: str = "title_embedding", content: str = "content_embedding",
@@ -38,26 +30,3 @@ def cluster_points(clusters: DataFrame, key: str = "cluster_id", part: str | Non
         F.col(key).alias("id"), (F.col(part) if part else F.lit("")).alias("part"),
         F.col(centroid).alias("centroid_vec"),
         F.col("__top.category").alias("cats"), F.col("__top.share").alias("shares"))
-
-
-def share_categories(table: DataFrame) -> Broadcast:
-    """Broadcast the category distances after checking the size of their vocabulary.
-
-    The table grows with the vocabulary, not with the documents. A vocabulary above the bound
-    raises; :func:`topicloom.functions.categories.with_category_distance` has no such bound.
-    """
-    spark = prepare(table.sparkSession)
-    limit = VOCABULARY * (VOCABULARY + 1) // 2
-    rows = table.select("first_category", "second_category", "distance").limit(limit + 1).toPandas()
-    if rows.empty:
-        raise ValueError("the category distance table is empty")
-    names = sorted(set(rows.first_category) | set(rows.second_category))
-    if len(rows) > limit or len(names) > VOCABULARY:
-        raise ValueError(f"more than {VOCABULARY} categories; use the join form of the category term")
-    at = {n: i for i, n in enumerate(names)}
-    i = rows.first_category.map(at).to_numpy()
-    j = rows.second_category.map(at).to_numpy()
-    matrix = np.full((len(names), len(names)), np.nan)
-    matrix[i, j] = rows.distance
-    matrix[j, i] = rows.distance
-    return spark.sparkContext.broadcast(category_table(names, matrix))

@@ -18,7 +18,7 @@ from ..operators.hierarchy import split_outliers
 from ..operators.labels import (community_labels_from_responses, community_prompts, labels_from_responses,
                                 labels_from_titles)
 from ..operators.layers import create_communities, first_layer, second_layer, split_clusters, split_communities
-from ..operators.points import share_categories
+from ..operators.lookup import share_categories
 from ..operators.profile import category_profile, central_documents, centroids, profiles
 from ..session import cut, is_empty, prepare, scratch_scope
 from ..settings import TTL_DAYS

@@ -460,3 +460,5 @@ ORACLES |= {
           from feed a join feed b on a.topic = b.topic and a.url <> b.url join kd on kd.ka = a.ck and kd.kb = b.ck) group by cluster, url)
         union all select topic, any_value(url), 0.0 from feed group by topic having count(*) = 1""",
 }
+#: Variants of a name are as far apart as the names, so the edges are the same.
+ORACLES["edges_wide_vocabulary"] = ORACLES["eps_edges_m1"]

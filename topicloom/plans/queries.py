@@ -16,7 +16,8 @@ from ..functions.responses import community_label, response_label, response_tags
 from ..operators import assign, batch, communities, hierarchy, labels, layers, neighbors, profile
 from ..operators.dbscan import dbscan
 from ..operators.ordinal import number_keys
-from ..operators.points import doc_points, share_categories
+from ..operators.lookup import share_categories
+from ..operators.points import doc_points
 from ..session import scratch_root
 from ..settings import (CLUSTER_FLAT, CLUSTER_SHARED, DOC_CONTENT, DOC_SCHEMA, DOC_TITLE,
                         EPS_DOC_TITLE)
@@ -265,6 +266,20 @@ def eps_edges_m1(spark, sf):
     return found.drop("part")
 
 
+def edges_wide_vocabulary(spark, sf):
+    """The edges of ``eps_edges_m1`` over 400 variants of each name, all as far apart as their names: 4,800 names and
+    millions of listed pairs, which go to the tiles instead of into a broadcast."""
+    variants = 400
+    own = F.pmod(F.xxhash64("title_vec"), F.lit(variants)).cast("string")
+    points = doc_points(doc_feed(spark, sf))
+    points = points.withColumn("__v", own).withColumn("cats", F.transform("cats", lambda c: F.concat(c, F.lit("#"), F.col("__v")))).drop("__v")
+    every = F.sequence(F.lit(0), F.lit(variants - 1))
+    table = (category_feed(spark).repartition(8).withColumn("i", F.explode(every)).withColumn("j", F.explode(every))
+             .select(F.concat_ws("#", "first_category", "i").alias("first_category"), F.concat_ws("#", "second_category", "j").alias("second_category"), "distance"))
+    found = neighbors.copy_edges(points, DOC_TITLE, EPS_DOC_TITLE, share_categories(table))
+    return found.drop("part")
+
+
 def own_distance_edges(spark, sf):
     """The caller's own metric: Euclidean title distance, half as much for equal category lists."""
     def own(x: Column, y: Column) -> Column:
@@ -558,7 +573,7 @@ QUERIES: dict[str, Query] = {
         daily_scan, doc_lookup, unwrap_hits, midnights, live_clusters_ttl, cluster_docs, missing_clusters, backlog_ttl,
         cluster_sizes, community_links, community_hydration, cluster_titles, merge_batch, dedupe_keep_first, corpus,
         document_rows, orphans, distances_vec, category_distance, cluster_distance, cluster_ids, parse_labels,
-        parse_community_label, eps_edges_m1, own_distance_edges, neighbor_counts, dbscan_layer1, dbscan_layer2,
+        parse_community_label, eps_edges_m1, edges_wide_vocabulary, own_distance_edges, neighbor_counts, dbscan_layer1, dbscan_layer2,
         split_clusters, centroids, central_docs, borders, profiles, cluster_rows, top_categories, category_shares,
         size_outliers, modal_layer, pick_best, append_communities, split_communities, community_rollup,
         community_link_rows, community_tags, stale_links, upsert_docs, category_pairs, upsert_clusters_partial, upsert_links,
