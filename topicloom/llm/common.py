@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import prepare, scratch_root
+from ..session import prepare, scratch_root, scratch_scope
 
 #: Words are maximal runs of characters outside this set (space, tab to carriage return).
 SPACES = r"[\x20\x09-\x0D]+"
@@ -19,6 +19,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 4_000_000
 
 
+#: Row numbers that may be broadcast after they are counted (some 30 MB); beyond it the rows are shuffled.
+BROADCAST_IDS = 1_000_000
+
+
 def prepare_texts(spark: SparkSession) -> SparkSession:
     """Session settings of the text operators: adaptive plans, and batches of bounded size."""
     prepare(spark)
@@ -69,3 +73,31 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_root(spark)}/topicloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: By application, names and tables of the stages so far.
+_stages: dict[str, list[tuple[str, str]]] = {}
+
+
+def staged(name: str, make: Callable[[], DataFrame], docs: DataFrame, last: bool = False) -> DataFrame:
+    """The result of one stage over ``docs`` as a written table.
+
+    What the stage writes besides goes when its table is complete. When a stage begins, the tables of other stages go
+    that ``docs`` does not read: its input has been written anew by then. An application runs one pipeline at a time;
+    the table of the ``last`` stage stays.
+    """
+    spark = docs.sparkSession
+    tables = _stages.setdefault(spark.sparkContext.applicationId, [])
+    read = docs.inputFiles()
+    for stage, path in list(tables):
+        if stage != name and not any(f"/{path.rsplit('/', 1)[1]}/" in f for f in read):
+            old = spark._jvm.org.apache.hadoop.fs.Path(path)
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+            tables.remove((stage, path))
+    path = f"{scratch_root(spark)}/topicloom/stage-{name}-{uuid.uuid4().hex}"
+    with scratch_scope(spark):
+        found = make()
+        found.write.parquet(path)
+    if not last:
+        tables.append((name, path))
+    return spark.read.schema(found.schema).parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .common import let, prepare_texts, quoted, whole
+from .common import BROADCAST_IDS, let, prepare_texts, quoted, whole
 
 #: Patterns by kind, in the order in which kinds are listed. ``assign`` matches are cut by their second group.
 PATTERNS = {
@@ -109,18 +109,24 @@ def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", owner: str
 
 
 def redact(docs: DataFrame, *, key: str = "doc_id", text: str = "text", mark: str = "[secret]", **options) -> DataFrame:
-    """``docs`` with every live span replaced by ``mark``; widely copied examples stay. Overlapping spans are
-    replaced as one. Spans belong to rows; ``key`` is not
-    looked at."""
+    """``docs`` with every live span replaced by ``mark``; widely copied examples stay. Overlapping spans are replaced as one.
+
+    Spans belong to rows, ``key`` is not looked at. Null texts stay null, texts without a live span stay as they are, and
+    all columns pass through, whatever their names; an empty table gives an empty one.
+    """
     prepare_texts(docs.sparkSession)
     live = F.filter("found", lambda x: x["live"])
-    rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "secret-rows")
-    hits = scan(rows, key="__row", text=text, **options).where("n_live > 0").select(
-        F.col("__row").alias("__k"), F.transform(live, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias("__x"))
-    rows = rows.join(hits, F.col("__row") == F.col("__k"), "left")
-    t = f"`{text}`"
-    clean = (f"aggregate(__x, named_struct('at', 0L, 'out', ''), (a, x) -> named_struct('at', greatest(a.at, x.e), 'out', "
+    rows = cut(docs.select(F.struct("*").alias("d"), F.monotonically_increasing_id().alias("row")), "secret-rows")
+    owner, options = options.pop("owner", "source"), dict(options)
+    texts = rows.select("row", *[F.col(f"d.`{c}`").alias(c) for c in dict.fromkeys((text, owner, "lang")) if c in docs.columns])
+    hits = scan(texts, key="row", text=text, owner=owner, **options).where("n_live > 0").select(
+        "row", F.transform(live, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias("x"))
+    hits = cut(hits, "secret-hits")
+    few = (hits.agg(F.sum(F.size("x") + 1)).first()[0] or 0) <= BROADCAST_IDS
+    rows = rows.join(F.broadcast(hits) if few else hits, "row", "left")
+    t = f"d.`{text}`"
+    clean = (f"aggregate(x, named_struct('at', 0L, 'out', ''), (a, x) -> named_struct('at', greatest(a.at, x.e), 'out', "
              f"if(x.s < a.at, a.out, concat(a.out, substring({t}, cast(a.at + 1 as int), cast(x.s - a.at as int)), '{mark}'))), "
              f"a -> concat(a.out, substring({t}, cast(a.at + 1 as int))))")
-    rows = rows.withColumn(text, F.when(F.col("__x").isNotNull(), F.expr(clean)).otherwise(F.col(text)))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    new = F.when(F.col("x").isNotNull(), F.expr(clean)).otherwise(F.col(t))
+    return rows.select(*[new.alias(c) if c == text else F.col(f"d.`{c}`") for c in docs.columns])

@@ -109,15 +109,16 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, limit: float =
 
 def mixed_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents as the mix takes them: one row per copy with the columns of ``docs``; a last copy that is
-    taken in part holds that many of the document's words. What is taken belongs to rows, not to keys."""
+    taken in part holds that many of the document's words. What is taken belongs to rows, not to keys. Null and empty
+    texts have no words and are not taken; all columns pass through, whatever their names; an empty table gives an empty one."""
     prepare_texts(docs.sparkSession)
-    rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-docs")
-    taken = mix(rows, key=key, text=text, row="__row", **options).where("taken > 0").select(
-        F.col("__row").alias("__k"), F.col("taken").alias("__taken"), F.col("size").alias("__size"))
-    rows = rows.join(taken, F.col("__row") == F.col("__k"))
-    rows = rows.withColumn("__copies", F.ceil(F.col("__taken") / F.col("__size")).cast("int"))
-    rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies")))
-    kept = F.col("__taken") - (F.col("__copy") - 1) * F.col("__size")
-    part = F.array_join(F.slice(F.expr(words_sql(f"`{text}`")), F.lit(1), kept.cast("int")), " ")
-    rows = rows.withColumn(text, F.when(kept >= F.col("__size"), F.col(text)).otherwise(part))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = cut(docs.select(F.struct("*").alias("d"), F.monotonically_increasing_id().alias("row")), "mix-docs")
+    names = [key, text, options.get("source", "source")]
+    texts = rows.select(*[F.col(f"d.`{c}`").alias(f"c{i}") for i, c in enumerate(names)], "row")
+    taken = (mix(texts, **options | {"key": "c0", "text": "c1", "source": "c2"}, row="row").where("taken > 0")
+             .select("row", F.col("taken").alias("words"), "size"))
+    rows = rows.join(taken, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("words") / F.col("size")).cast("int"))))
+    kept = F.col("words") - (F.col("copy") - 1) * F.col("size")
+    part = F.array_join(F.slice(F.expr(words_sql(f"d.`{text}`")), F.lit(1), kept.cast("int")), " ")
+    new = F.when(kept >= F.col("size"), F.col(f"d.`{text}`")).otherwise(part)
+    return rows.select(*[new.alias(c) if c == text else F.col(f"d.`{c}`") for c in docs.columns])

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from ..session import cut
-from .common import prepare_texts, whole
+from ..session import cut, rows_within
+from .common import BROADCAST_IDS, prepare_texts, whole
 
 #: Bytes of a fingerprint, and the largest number of differing bits of a link that the index can find.
 BYTES, RADIUS = 8, 4
@@ -195,6 +195,8 @@ def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shi
     rows = cut(docs.select(F.struct("*").alias("d"), F.monotonically_increasing_id().alias("row")), "simhash-rows")
     texts = rows.select("row", F.col(f"d.`{key}`").alias("k"), F.col(f"d.`{text}`").alias("t"))
     groups = near_duplicates(texts, key="row", text="t", shingle=shingle, radius=radius, seed=seed).select("row", "component_id")
-    first = F.min(F.struct(F.col("k").isNull().alias("none"), "k", "row")).alias("x")
-    kept = groups.join(texts.select("row", "k"), "row").groupBy("component_id").agg(first).select("x.row")
-    return rows.join(kept, "row", "left_semi").select("d.*")
+    groups = cut(groups.join(texts.select("row", "k"), "row"), "simhash-groups")
+    first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("k").isNull().alias("none"), "k", "row")).alias("x"))
+    gone = cut(groups.join(first, "component_id").where("row <> x.row").select("row"), "simhash-gone")
+    few = rows_within(gone, BROADCAST_IDS) is not None
+    return rows.join(F.broadcast(gone) if few else gone, "row", "left_anti").select("d.*")
