@@ -6,28 +6,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from topicloom.llm import credentials, mixing, packing, simhash, toxicity
-from topicloom.llm.common import settled
-from topicloom.session import scratch_scope
+from topicloom.llm.common import staged
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return staged("toxicity", lambda: toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs, shingle=4, radius=4)
+    return staged("near_duplicates", lambda: simhash.one_of_each(docs, shingle=4, radius=4), docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return credentials.redact(docs)
+    return staged("secrets", lambda: credentials.redact(docs), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(docs)
+    return staged("mixing", lambda: mixing.mixed_documents(docs), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return staged("packing", lambda: packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")), docs, last=True)
 
 
 STAGES = [
@@ -43,9 +42,8 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each reads what the one before has written, whose other tables are removed."""
+    """Apply the stages to ``documents``; each writes one table, which goes when the stage after the next begins."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        with scratch_scope(spark):
-            docs = settled(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for _, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+    return docs
