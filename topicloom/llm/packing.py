@@ -22,7 +22,7 @@ from .common import prepare_texts, whole
 #: Pieces that one group holds on average; a group is packed by one task.
 GROUP_PIECES = 8_192
 #: Bytes of words and ids, with some for each entry, beyond which a worker forgets them before its next batch.
-CACHED_BYTES, ENTRY_BYTES = 200_000_000, 180
+CACHED_BYTES, ENTRY_BYTES = 130_000_000, 180
 #: Words handed to the tokenizer at a time, and words whose ids are laid out at a time.
 ENCODE_WORDS, LAID_WORDS = 2_000, 1_000_000
 #: Marks that the tokenizer cuts off behind a letter; ``|`` may belong to a special token.
