@@ -47,9 +47,44 @@ def test_documents_and_clusters_agree(days, spark):
 
 def test_rerun_keeps_documents(days):
     _, _, seen = days
-    assert set(seen[0]) < set(seen[1]) == set(seen[2])
-    noise = lambda m: {u for u, c in m.items() if c.endswith("-1")}
-    assert noise(seen[2]) <= noise(seen[1])
+    assert set(seen[0]) < set(seen[1]) and seen[1] == seen[2]
+
+
+def test_rerun_keeps_all_tables(days):
+    """The second run of a day publishes the rows of the first."""
+    store, _, _ = days
+    runs = [r for r in store.commits() if r["tags"] and r["tags"][0][1] == DAY.isoformat()]
+    assert [r["tags"][0][0] for r in runs] == ["daily_clusters", "daily_communities"] * 2
+    for first, second in zip(runs, runs[2:]):
+        for table in ("clusters", "clusterized_docs") if first["tags"][0][0] == "daily_clusters" else ("cluster_communities", "communities"):
+            a, b = (sorted(map(repr, store.read(table, r).collect())) for r in (first, second))
+            assert a and a == b, table
+
+
+def test_a_day_before_the_last_is_refused(days):
+    store, docs, _ = days
+    commits = len(store.commits())
+    for job in (daily_clusters, daily_communities):
+        with pytest.raises(ValueError):
+            job(store, docs, DAY - dt.timedelta(days=1))
+    assert len(store.commits()) == commits
+
+
+def test_a_run_that_stops_publishes_nothing(days, monkeypatch):
+    """Between its clusters and its documents, a run shows neither."""
+    store, docs, _ = days
+    before = store.commits()[-1]
+    upsert = Store.upsert
+
+    def stops(self, table, updates):
+        if table == "clusterized_docs":
+            raise RuntimeError("stopped")
+        return upsert(self, table, updates)
+
+    monkeypatch.setattr(Store, "upsert", stops)
+    with pytest.raises(RuntimeError):
+        daily_clusters(store, docs, DAY)
+    assert store.commits()[-1] == before
 
 
 def test_links_cover_live_clusters(days):

@@ -58,16 +58,28 @@ def _moved(rows: DataFrame, moves: DataFrame) -> DataFrame:
             .withColumn("cluster", F.coalesce("new", "cluster")).drop("new"))
 
 
-def _scoped(job):
-    """Drop the job's scratch tables when it ends."""
-    @wraps(job)
-    def run(store: Store, *args, **kwargs):
-        with scratch_scope(prepare(store.spark)):
-            return job(store, *args, **kwargs)
-    return run
+def _published(*owned: str):
+    """Run a job for a day on the state before that day and publish its tables as one commit.
 
-
-@_scoped
+    A repeated run of a day starts from what the first one found in the ``owned`` tables, so it replaces that day's
+    result. A day is refused once the job has run for a later one, whose result rests on it. The job's scratch
+    tables are dropped when it ends.
+    """
+    def decorate(job):
+        @wraps(job)
+        def run(store: Store, docs: DataFrame, ref_date: dt.date | str, **kwargs):
+            day = reference_date(ref_date)
+            if later := store.later(job.__name__, day):
+                raise ValueError(f"{job.__name__} has run for {later[0]}, which is after {day}")
+            first = store.before(job.__name__, day)
+            base = first and {"tables": {t: first["tables"].get(t, []) for t in owned}}
+            with scratch_scope(prepare(store.spark)), store.transaction((job.__name__, day), base=base):
+                return job(store, docs, day, **kwargs)
+        return run
+    return decorate
+
+
+@_published("clusters", "clusterized_docs")
 def daily_clusters(store: Store, docs: DataFrame, ref_date: dt.date | str, *, responses: DataFrame | None = None,
                    pick: str = "nearest", use_borders: bool = True, **sizes) -> DailyResult:
     """Cluster the documents of ``ref_date`` and the backlog, and publish the changed tables.
@@ -157,7 +169,7 @@ def clean_communities(store: Store, day: dt.date) -> None:
     store.delete("communities", drop, ["community_id"])
 
 
-@_scoped
+@_published("cluster_communities", "communities")
 def daily_communities(store: Store, docs: DataFrame, ref_date: dt.date | str, *,
                       responses: DataFrame | None = None, **sizes) -> CommunityResult:
     """Group live clusters into communities and publish links and communities.

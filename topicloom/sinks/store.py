@@ -1,22 +1,36 @@
-"""Result tables as versioned snapshots with keyed upserts and deletes.
+"""Result tables with keyed upserts and deletes, published by commit records.
 
-A table is a folder of versions. A write goes to a new version folder; a version counts as soon as
-its commit marker exists, and readers take the highest such version. A failed write leaves the
-table as it was. File sources have no MERGE, so a change is a join of the current version with the
-changed keys.
+A commit record is a small file with the next free number. It lists the folders of every table, so a state of all
+tables becomes visible at once, and a run that stops before its commit changes nothing. Records are claimed by
+creating their file: of two writers that started from one state the second is refused.
+
+Tables with a ``timestamp`` are kept by day. File sources have no MERGE, so a change rewrites the days that hold
+one of its keys, old or new, and leaves the folders of all other days where they are.
+
+Records carry tags, such as a job and its reference date, and any recorded state can be read again.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut, scratch_scope
 from ..settings import KEYS, TABLES
 
-#: Tables written by date, so that readers with a time window skip old files.
-DATED = {"clusterized_docs"}
+#: Column by which a table's folders are kept, so that readers with a time window skip old ones.
+DAY = "timestamp"
+#: Folder of the commit records.
+COMMITS = "_commits"
+
+#: Per table, the day (None for a table without days, "" for no day) and folder of each part.
+State = dict[str, list[list]]
 
 
 def _clean(column: Column, kind: T.DataType) -> Column:
@@ -58,6 +72,10 @@ def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer has committed since this one started."""
+
+
 class Store:
     """The five result tables under one root folder."""
 
@@ -66,36 +84,137 @@ class Store:
         self.root = root.rstrip("/")
         self._fs = spark._jvm.org.apache.hadoop.fs
         self._conf = spark._jsc.hadoopConfiguration()
+        self._open: dict | None = None
+
+    # -- commit records ------------------------------------------------------------------------
+
+    def _path(self, name: str):
+        path = self._fs.Path(f"{self.root}/{name}")
+        return path, path.getFileSystem(self._conf)
+
+    def _names(self, folder: str) -> list[str]:
+        path, fs = self._path(folder)
+        return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
+
+    def _record(self, number: int) -> dict | None:
+        """A commit record, or None if its writer stopped before it was whole."""
+        path, fs = self._path(f"{COMMITS}/{number:012d}.json")
+        stream = fs.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            return json.loads(text)
+        except ValueError:
+            return None
+
+    def _numbers(self) -> list[int]:
+        return [int(n[:-5]) for n in self._names(COMMITS) if n.endswith(".json")]
+
+    def commits(self) -> list[dict]:
+        """Whole commit records, oldest first."""
+        return [r for r in map(self._record, self._numbers()) if r]
+
+    def _last(self) -> dict:
+        for number in reversed(self._numbers()):
+            if record := self._record(number):
+                return record
+        return {"number": 0, "tables": {}, "tags": []}
 
-    def _versions(self, table: str) -> list[int]:
-        path = self._fs.Path(f"{self.root}/{table}")
-        fs = path.getFileSystem(self._conf)
-        if not fs.exists(path):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return sorted(int(n[2:]) for n in names if n.startswith("v=")
-                      and fs.exists(self._fs.Path(f"{self.root}/{table}/{n}/_SUCCESS")))
+    def before(self, job: str, day: dt.date) -> dict | None:
+        """The state that the first run of ``job`` for ``day`` found; None if there was no such run."""
+        last = {"number": 0, "tables": {}, "tags": []}
+        for record in self.commits():
+            if [job, day.isoformat()] in record["tags"]:
+                return last
+            last = record
+        return None
+
+    def later(self, job: str, day: dt.date) -> list[str]:
+        """Days after ``day`` for which ``job`` has run."""
+        return sorted({d for r in self.commits() for j, d in r["tags"] if j == job and d > day.isoformat()})
+
+    @contextmanager
+    def transaction(self, *tags: tuple[str, dt.date], base: dict | None = None):
+        """Publish all writes of the block as one commit, or none of them if the block fails.
+
+        Reads inside the block see its writes. Tables start from the last state, those that ``base`` names
+        from that recorded state.
+        """
+        if self._open is not None:
+            raise RuntimeError("a transaction is open already")
+        last = self._last()
+        tables = {**last["tables"], **(base or {}).get("tables", {})}
+        self._open = {"number": max([0, *self._numbers()]) + 1, "base": last["number"], "tables": tables,
+                      "tags": [[job, day.isoformat()] for job, day in tags]}
+        try:
+            yield self
+            record = self._open
+        finally:
+            self._open = None
+        self._commit(record)
+
+    def _commit(self, record: dict) -> None:
+        if self._last()["number"] != record["base"]:
+            raise ConcurrentWrite(f"commit {record['base']} is no longer the last one")
+        path, fs = self._path(f"{COMMITS}/{record['number']:012d}.json")
+        try:
+            stream = fs.create(path, False)
+        except Exception as taken:
+            raise ConcurrentWrite(f"commit {record['number']} has been claimed") from taken
+        try:
+            stream.write(bytearray(json.dumps(record), "utf-8"))
+        finally:
+            stream.close()
+
+    @contextmanager
+    def _change(self):
+        if self._open is not None:
+            yield self._open["tables"]
+        else:
+            with self.transaction():
+                yield self._open["tables"]
+
+    def _tables(self) -> State:
+        return (self._open or self._last())["tables"]
+
+    # -- reading -------------------------------------------------------------------------------
 
     def exists(self, table: str) -> bool:
-        return bool(self._versions(table))
+        return table in self._tables()
 
-    def read(self, table: str) -> DataFrame:
-        """Current version; an empty table with the right columns when there is none."""
+    def read(self, table: str, state: dict | None = None) -> DataFrame:
+        """Current rows, or those of a recorded ``state``; an empty table with the right columns when there are none."""
         schema = TABLES[table]
-        versions = self._versions(table)
-        if not versions:
+        folders = [f for _, f in (state["tables"] if state else self._tables()).get(table, [])]
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/v={versions[-1]}").select(*schema.names)
+        return (self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}")
+                .parquet(*[f"{self.root}/{f}" for f in folders]).select(*schema.names))
 
-    def write(self, table: str, rows: DataFrame) -> DataFrame:
-        """Commit ``rows`` as the next version."""
+    # -- writing -------------------------------------------------------------------------------
+
+    def _dated(self, table: str) -> bool:
+        return DAY in TABLES[table].names
+
+    def _written(self, table: str, rows: DataFrame) -> list[list]:
+        """Write rows to new folders and return their days and names."""
         schema = TABLES[table]
-        version = (self._versions(table) or [0])[-1] + 1
+        folder = f"{table}/w={uuid.uuid4().hex}"
         shaped = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        writer = shaped.write.mode("overwrite")
-        if table in DATED:
-            writer = writer.partitionBy("timestamp")
-        writer.parquet(f"{self.root}/{table}/v={version}")
+        if not self._dated(table):
+            shaped.write.parquet(f"{self.root}/{folder}")
+            return [[None, folder]]
+        # rows of one day go to one task unless they are many; a huge day is split
+        shaped.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(f"{self.root}/{folder}")
+        found = [n for n in self._names(folder) if n.startswith(f"{DAY}=")]
+        return [["" if n.endswith("__") else n.partition("=")[2], f"{folder}/{n}"] for n in found]
+
+    def write(self, table: str, rows: DataFrame) -> DataFrame:
+        """Replace all rows."""
+        with self._change() as tables:
+            tables[table] = self._written(table, rows)
         return self.read(table)
 
     def create(self, table: str, reset: bool = False) -> DataFrame:
@@ -103,11 +222,26 @@ class Store:
             return self.write(table, self.spark.createDataFrame([], TABLES[table]))
         return self.read(table)
 
-    def _checked(self, table: str, rows: DataFrame) -> DataFrame:
-        twice = repeated_keys(rows, KEYS[table]).limit(1).take(1)
-        if twice:
-            raise ValueError(f"more than one update for {twice[0].asDict()} of {table}")
-        return rows
+    def _replaced(self, table: str, keys: list[str], gone: DataFrame, old: DataFrame, new: DataFrame | None) -> DataFrame:
+        """Take out the rows with keys of ``gone``, which are ``old``, and put in ``new``, in the days of either."""
+        with self._change() as tables:
+            current = self.read(table)
+            if not self._dated(table):
+                kept = current.join(gone, keys, "left_anti")
+                tables[table] = self._written(table, kept.unionByName(new) if new is not None else kept)
+                return self.read(table)
+            days = old.select(DAY) if new is None else old.select(DAY).unionByName(new.select(DAY))
+            touched = {"" if r[DAY] is None else r[DAY].isoformat() for r in days.distinct().collect()}
+            parts = tables.get(table, [])
+            stay = [p for p in parts if p[0] not in touched]
+            if touched:
+                dates = [dt.date.fromisoformat(d) for d in touched if d]
+                there = F.col(DAY).isin(dates) if dates else F.lit(False)
+                kept = current.where(there | F.col(DAY).isNull() if "" in touched else there).join(gone, keys, "left_anti")
+                tables[table] = stay + self._written(table, kept.unionByName(new) if new is not None else kept)
+            elif table not in tables:
+                tables[table] = []
+            return self.read(table)
 
     def _widened(self, table: str, rows: DataFrame) -> DataFrame:
         have = set(rows.columns)
@@ -116,15 +250,38 @@ class Store:
 
     def upsert(self, table: str, updates: DataFrame) -> DataFrame:
         """Documents and links are replaced, clusters and communities partially updated."""
-        updates = self._widened(table, self._checked(table, updates))
+        keys = KEYS[table]
         change = merge_rows if table in ("clusters", "communities") else replace_rows
-        return self.write(table, change(self.read(table), updates, KEYS[table]))
+        with scratch_scope(self.spark):
+            updates = cut(self._widened(table, updates), f"update-{table}")
+            twice = repeated_keys(updates, keys).limit(1).take(1)
+            if twice:
+                raise ValueError(f"more than one update for {twice[0].asDict()} of {table}")
+            old = cut(self.read(table).join(updates.select(*keys), keys, "left_semi"), f"old-{table}")
+            new = cut(change(old, updates, keys), f"new-{table}")
+            return self._replaced(table, keys, updates.select(*keys), old, new)
 
     def delete(self, table: str, gone: DataFrame, keys: list[str] | None = None) -> DataFrame:
-        return self.write(table, delete_rows(self.read(table), gone, keys or KEYS[table]))
+        """Remove the rows with these keys; by default those of the table."""
+        keys = keys or KEYS[table]
+        with scratch_scope(self.spark):
+            gone = cut(gone.select(*keys).distinct(), f"gone-{table}")
+            return self._replaced(table, keys, gone, self.read(table).join(gone, keys, "left_semi"), None)
 
-    def vacuum(self, table: str, keep: int = 2) -> None:
-        """Remove all but the last versions."""
-        for version in self._versions(table)[:-keep]:
-            path = self._fs.Path(f"{self.root}/{table}/v={version}")
-            path.getFileSystem(self._conf).delete(path, True)
+    def vacuum(self, keep: int = 30) -> int:
+        """Remove all but the last ``keep`` commits and the folders that only they or no commit name. No writer may be
+        at work, since its folders are not named yet. Returns how many folders went."""
+        records = self.commits()
+        named = {f for r in records[-keep:] for parts in r["tables"].values() for _, f in parts}
+        removed = 0
+        for table in TABLES:
+            for folder in self._names(table):
+                inner = [f"{table}/{folder}/{n}" for n in self._names(f"{table}/{folder}") if "=" in n] or [f"{table}/{folder}"]
+                for name in [f"{table}/{folder}"] if not named.intersection(inner) else [n for n in inner if n not in named]:
+                    path, fs = self._path(name)
+                    fs.delete(path, True)
+                    removed += 1
+        for record in records[:-keep]:
+            path, fs = self._path(f"{COMMITS}/{record['number']:012d}.json")
+            fs.delete(path, False)
+        return removed
