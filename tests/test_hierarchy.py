@@ -12,11 +12,11 @@ from topicloom.settings import Metric
 PLAIN = Metric((("title_vec", 1.0),), 0.0, 0.0, 0.0, False, False)
 
 
-def brute_force(ids, x):
+def brute_force(ids, x, least=2):
     """Excess of mass by removing edges of the complete reachability graph from the heaviest down."""
     d = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)), 9)
     n = len(x)
-    core = np.sort(d + np.diag(np.full(n, -1.0)), axis=1)[:, min(2, n - 1)]
+    core = np.sort(d + np.diag(np.full(n, -1.0)), axis=1)[:, min(least, n - 1)]
     reach = np.maximum(np.maximum(core[:, None], core[None]), d)
 
     def parts(members, below):
@@ -43,7 +43,7 @@ def brute_force(ids, x):
                 if len(pieces) > 1:
                     break
             level = 1 / max(w, 1e-9)
-            big = [p for p in pieces if len(p) > 1]
+            big = [p for p in pieces if len(p) >= least]
             if len(big) == 1:
                 stability += (len(inside) - len(big[0])) * (level - birth)
                 inside = big[0]
@@ -63,7 +63,7 @@ def brute_force(ids, x):
             pieces = parts(inside, w)
             if len(pieces) > 1:
                 break
-        big = [p for p in pieces if len(p) > 1]
+        big = [p for p in pieces if len(p) >= least]
         if len(big) != 1 or len(pieces) == 1:
             break
         inside = big[0]
@@ -113,6 +113,21 @@ def test_matches_brute_force(spark, categories, seed, sizes):
     assert found == expected
 
 
+@pytest.mark.parametrize("least", [3, 5])
+@pytest.mark.parametrize("seed, sizes", [(1, dict()), (2, dict(batch_edges=6)), (4, dict(block_rows=5, anchor_blocks=100, batch_edges=9))])
+def test_larger_clusters_match_brute_force(spark, categories, seed, sizes, least):
+    """Components below the size are no clusters, whichever batch they form in; copies are components like any other."""
+    groups = data(seed)
+    found = clusters(density_hierarchy(points(spark, groups), PLAIN, categories, least, **sizes))
+    expected = set().union(*[brute_force(ids, x, least) for _, ids, x in groups])
+    assert found == expected and expected and all(len(c) >= least for c in found)
+
+
+def test_a_cluster_of_one_point_is_refused(spark, categories):
+    with pytest.raises(ValueError):
+        density_hierarchy(points(spark, data(1)), PLAIN, categories, 1)
+
+
 def test_spanning_tree_is_minimal_across_tiles(spark, categories):
     pts = points(spark, data(3))
     ready = pts.join(core_distances(pts, PLAIN, categories, 2, block_rows=6), ["part", "id"])

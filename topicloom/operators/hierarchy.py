@@ -171,14 +171,16 @@ _STATE = "part string, comp string, size long, fall double, best double, node st
 _STEP = f"kind string, {_STATE}, target string, chosen boolean"
 
 
-def _merge_batch(table: pa.Table) -> pa.Table:
+def _merge_batch(table: pa.Table, least: int) -> pa.Table:
     """Run one batch of a part's edges through the hierarchy.
 
-    A component of two or more points is an open cluster: ``fall`` sums the levels (inverse
+    A component of ``least`` or more points is an open cluster: ``fall`` sums the levels (inverse
     distances) at which its points leave it, ``best`` is the stability its descendants reach (NULL
     without any). Edges of equal weight act together. Where they join two or more open clusters,
-    these are closed and a new one opens; otherwise the single points join the open one. Emits the
-    changed component states, the moves, the closed clusters and the points that leave a cluster.
+    these are closed and a new one opens; otherwise the points of the smaller components join the
+    open one, or all of them open one once they are enough. A component that is no cluster yet is a
+    node that is never chosen. Emits the changed component states, the moves, the closed nodes and
+    the points that leave a cluster.
     """
     rows = table.to_pylist()
     part = rows[0]["part"]
@@ -208,9 +210,10 @@ def _merge_batch(table: pa.Table) -> pa.Table:
             parent[x] = parent[y] = min(x, y)
             joined[min(x, y)] = (many[0], min(few[1], many[1]))
         for z, (members, name) in joined.items():
-            open_ = [(m, state.pop(m)) for m in sorted(members) if m in state]
-            singles = [m for m in members if m not in {c for c, _ in open_}]
-            size = len(singles) + sum(s[0] for _, s in open_)
+            met = [(m, state.pop(m)) for m in sorted(members) if m in state]
+            singles = [m for m in members if m not in {c for c, _ in met}]
+            size = len(singles) + sum(s[0] for _, s in met)
+            open_ = [(m, s) for m, s in met if s[0] >= least]
             if len(open_) == 1:
                 _, (old, fall, best, node) = open_[0]
                 state[z] = [size, fall + (size - old) * level, best, node]
@@ -222,6 +225,7 @@ def _merge_batch(table: pa.Table) -> pa.Table:
                     best = (best or 0.0) + (stability if chosen else below)
                     out.append(dict(kind="node", node=inner, target=node, chosen=chosen))
                 state[z] = [size, size * level, best, node]
+            out += [dict(kind="node", node=s[3], target=node, chosen=False) for _, s in met if s[0] < least]
             out += [dict(kind="point", comp=m, node=node) for m in singles]
     out += [dict(kind="move", comp=c, target=find(c)) for c in list(parent)]
     out += [dict(kind="comp", comp=c, size=s[0], fall=s[1], best=s[2], node=s[3]) for c, s in state.items()]
@@ -231,8 +235,8 @@ def _merge_batch(table: pa.Table) -> pa.Table:
     return pa.Table.from_pylist([dict(o, part=part) for o in out], schema)
 
 
-def hierarchy_labels(tree: DataFrame, batch_edges: int = BATCH_EDGES) -> DataFrame:
-    """Clusters of a spanning tree by excess of mass, smallest cluster two points:
+def hierarchy_labels(tree: DataFrame, batch_edges: int = BATCH_EDGES, min_cluster_size: int = 2) -> DataFrame:
+    """Clusters of at least ``min_cluster_size`` points of a spanning tree by excess of mass:
     ``(part, id, node)`` of clustered points. The part as a whole is never a cluster.
 
     Copies (distance 0) become one component with joins first, whatever their number. The other
@@ -274,7 +278,7 @@ def hierarchy_labels(tree: DataFrame, batch_edges: int = BATCH_EDGES) -> DataFra
             touched = ends.select(F.explode(F.array("x", "y")).alias("comp")).distinct()
             group = group.unionByName(states.join(touched, "comp", "left_semi").withColumn("kind", F.lit("comp")),
                                       allowMissingColumns=True)
-        step = cut(group.groupBy("part").applyInArrow(_merge_batch, _STEP), "merge")
+        step = cut(group.groupBy("part").applyInArrow(lambda t: _merge_batch(t, min_cluster_size), _STEP), "merge")
         done.append(step.where("kind in ('node', 'point')").select("kind", "part", "comp", "node", "target", "chosen"))
         if b + 1 == batches:
             break
@@ -310,12 +314,13 @@ def _topmost(nodes: DataFrame) -> DataFrame:
 def density_hierarchy(points: DataFrame, metric: Metric, categories: CategoryPairs, min_cluster_size: int = 2,
                       batch_edges: int = BATCH_EDGES, **sizes) -> DataFrame:
     """``(part, id, root)`` of points clustered by their density hierarchy inside each part; ``root``
-    is the smallest id of the cluster."""
-    if min_cluster_size != 2:
-        raise ValueError("clusters of the hierarchy start at two points")
+    is the smallest id of the cluster. Clusters have ``min_cluster_size`` points at least, and core
+    distances reach that many other points."""
+    if min_cluster_size < 2:
+        raise ValueError("a cluster has two points at least")
     cores = core_distances(points, metric, categories, min_cluster_size, **sizes)
     ready = cut(points.join(cores, ["part", "id"]), "reachable")
-    found = hierarchy_labels(spanning_trees(ready, metric, categories, **sizes), batch_edges)
+    found = hierarchy_labels(spanning_trees(ready, metric, categories, **sizes), batch_edges, min_cluster_size)
     roots = found.groupBy("part", "node").agg(F.min("id").alias("root"))
     return found.join(roots, ["part", "node"]).select("part", "id", "root")
 

@@ -462,3 +462,14 @@ ORACLES |= {
 }
 #: Variants of a name are as far apart as the names, so the edges are the same.
 ORACLES["edges_wide_vocabulary"] = ORACLES["eps_edges_m1"]
+ORACLES["runs_by_day"] = _with(DOCS) + """select url, concat('run', cast(doc_id % 3 as varchar), '_', cast(b as varchar)) as cluster_id,
+  cast(date '2024-01-28' + cast(doc_id % 3 as int) as date) as timestamp, doc_id % 3 = 1 as unclusterized
+  from feed where not (doc_id % 3 = 2 and b % 7 = 3)"""
+_COMMUNITY_STATE = """cur as (select ls.community_id, cast(sum(cf.size) as bigint) as size, min(cf.ts) as ts
+  from ls join cf using (cluster_id) group by ls.community_id)"""
+ORACLES["delete_by_uuid"] = _with(CLUSTERS, LINKS, _COMMUNITY_STATE) + """
+  select 'clusters' as kind, cluster_id as id, ts as timestamp from cf where g % 4 <> 1
+  union all select 'communities', community_id, ts from cur where size % 2 <> 0"""
+ORACLES["delete_by_community"] = _with(CLUSTERS, LINKS, _COMMUNITY_STATE) + """
+  select community_id, size, ts as timestamp from cur where community_id = 'co_0' or community_id not in (
+    select community_id from ls where cluster_id in (select cluster_id from cf where g % 3 = 0))"""

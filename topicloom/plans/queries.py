@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,10 +16,10 @@ from ..functions.metrics import comparable, weighted
 from ..functions.responses import community_label, response_label, response_tags
 from ..operators import assign, batch, communities, hierarchy, labels, layers, neighbors, profile
 from ..operators.dbscan import dbscan
-from ..operators.ordinal import number_keys
 from ..operators.lookup import share_categories
+from ..operators.ordinal import number_keys
 from ..operators.points import doc_points
-from ..session import scratch_root
+from ..session import is_empty, scratch_root
 from ..settings import (CLUSTER_FLAT, CLUSTER_SHARED, DOC_CONTENT, DOC_SCHEMA, DOC_TITLE,
                         EPS_DOC_TITLE)
 from ..sinks import store
@@ -497,6 +498,50 @@ def delete_stale(spark, sf):
     return store.delete_rows(links, dead, ["cluster_id"])
 
 
+def _own_store(spark) -> store.Store:
+    return store.Store(spark, f"{scratch_root(spark)}/topicloom/store-{uuid.uuid4().hex}")
+
+
+def runs_by_day(spark, sf):
+    """The assignment table after three runs over the documents: each replaces the rows of those it moves, and a day's
+    dropped topics are deleted by their ids."""
+    feed = doc_feed(spark, sf)
+    kept = _own_store(spark)
+    if kept.exists("clusterized_docs") or not is_empty(kept.read("clusterized_docs")):
+        raise RuntimeError("a new store has no tables")
+    kept.create("clusterized_docs")
+    for i in range(3):
+        moved = feed.where(F.col("doc_id") % 3 >= i)
+        kept.upsert("clusterized_docs", moved.select(
+            "url", F.concat(F.lit(f"run{i}_"), F.col("b").cast("string")).alias("cluster_id"),
+            F.lit(DAY - dt.timedelta(days=2 - i)).alias("timestamp"), (F.col("doc_id") % 3 == 1).alias("unclusterized")))
+    gone = feed.where(F.col("b") % 7 == 3).select(F.concat(F.lit("run2_"), F.col("b").cast("string")).alias("cluster_id"))
+    return kept.delete("clusterized_docs", gone, ["cluster_id"]).select("url", "cluster_id", "timestamp", "unclusterized")
+
+
+def delete_by_uuid(spark, sf):
+    """Clusters and communities left after deletes by uuid."""
+    def left(kind: str, rows: DataFrame, gone: Column) -> DataFrame:
+        kept = _own_store(spark)
+        ids = {"clusters": "cluster_id", "communities": "community_id"}[kind]
+        kept.write(kind, kept._widened(kind, rows.withColumn("uuid", F.md5(ids))))
+        return kept.delete(kind, rows.where(gone).select(F.md5(ids).alias("uuid")), ["uuid"]).select(
+            F.lit(kind).alias("kind"), F.col(ids).alias("id"), "timestamp")
+    clusters = cluster_feed(spark, sf)
+    groups = communities_state(spark, sf)
+    return left("clusters", clusters.select("cluster_id", "cluster_label", "timestamp", "g"), F.col("g") % 4 == 1).unionByName(
+        left("communities", groups.select("community_id", "size", "timestamp"), F.col("size") % 2 == 0))
+
+
+def delete_by_community(spark, sf):
+    """Communities left after a delete by id: those of links to clusters that are gone."""
+    kept = _own_store(spark)
+    kept.write("communities", kept._widened("communities", communities_state(spark, sf).select("community_id", "size", "timestamp")))
+    dead, _ = communities.stale_links(links_state(spark, sf), cluster_feed(spark, sf).where("g % 3 <> 0"))
+    gone = links_state(spark, sf).join(dead.where("cluster_id like 'cl_%'").select("cluster_id"), "cluster_id").select("community_id")
+    return kept.delete("communities", gone.where("community_id <> 'co_0'"), ["community_id"]).select("community_id", "size", "timestamp")
+
+
 # -- labels ------------------------------------------------------------------------------------------
 
 def cluster_prompt(spark, sf):
@@ -542,7 +587,6 @@ def outlier_split(spark, sf):
 # -- jobs --------------------------------------------------------------------------------------------
 
 def _stores(spark, sf):
-    import uuid
 
     from .daily import ingest_categories
     docs = doc_feed(spark, sf).withColumn("date_created", F.col("timestamp").cast("timestamp")).withColumn(
@@ -577,7 +621,7 @@ QUERIES: dict[str, Query] = {
         split_clusters, centroids, central_docs, borders, profiles, cluster_rows, top_categories, category_shares,
         size_outliers, modal_layer, pick_best, append_communities, split_communities, community_rollup,
         community_link_rows, community_tags, stale_links, upsert_docs, category_pairs, upsert_clusters_partial, upsert_links,
-        upsert_communities, delete_stale, cluster_prompt, community_prompt, tfidf_labels, pca_2d, core_distances,
+        upsert_communities, delete_stale, runs_by_day, delete_by_uuid, delete_by_community, cluster_prompt, community_prompt, tfidf_labels, pca_2d, core_distances,
         density_hierarchy, outlier_split, daily_job, community_job)}
 QUERIES |= {
     "doc_distance_m1": _doc_distance(DOC_TITLE), "doc_distance_m2": _doc_distance(DOC_CONTENT),
