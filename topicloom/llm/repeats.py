@@ -28,7 +28,7 @@ CHUNK, REGION = 16, 20
 SLICE_CHARS, COUNTED, MARKED = 120_000, 2_000_000, 500_000
 #: Windows of a fragment at most; longer ones (periodic texts) are cut.
 MAX_RUN = 64
-#: Odd multipliers of the two hashes; any odd numbers will do.
+#: Odd multipliers of the two hashes; any odd numbers will do, as codes are 64 bits wide.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 FRAGMENT = "anchor long, digest long, k long, at long, n int"
@@ -42,10 +42,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class RangeHash:
-    """64-bit hashes of byte ranges: differences of a running polynomial sum, brought to a common place."""
+    """64-bit hashes of runs of items: differences of a running polynomial sum over the items' codes, brought to a
+    common place. A code of a word is half of its 128-bit XXH3 digest, that of a byte a drawn odd number. Sums modulo
+    2^64 agree for certain texts whatever the base, but only from 1,024 items on; runs are ten times shorter."""
 
     def __init__(self, index: int):
-        self.base, self.inverse = BASES[index], pow(BASES[index], -1, 1 << 64)
+        self.index, self.base, self.inverse = index, BASES[index], pow(BASES[index], -1, 1 << 64)
         self.values = np.random.default_rng(index).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.up = self.down = np.empty(0, np.uint64)
 
@@ -55,35 +57,45 @@ class RangeHash:
         out[:1] = 1
         return np.multiply.accumulate(out)
 
-    def load(self, data: np.ndarray) -> None:
-        if len(self.up) <= len(data):
-            n = len(data) + len(data) // 4 + 1
+    def load(self, items: Items) -> None:
+        codes = self.values[items.data] if items.digests is None else items.digests[:, self.index]
+        if len(self.up) <= len(codes):
+            n = len(codes) + len(codes) // 4 + 1
             self.up, self.down = self._powers(self.base, n), self._powers(self.inverse, n)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.values[data] * self.up[:len(data)], out=self.sums[1:])
+        self.sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(codes * self.up[:len(codes)], out=self.sums[1:])
 
-    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[ends] - self.sums[starts]) * self.down[starts])
+    def __call__(self, first: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+        """Hashes of the runs of ``n`` items from each ``first``."""
+        return mixed((self.sums[first + n] - self.sums[first]) * self.down[first])
+
+    def every(self, n: int) -> np.ndarray:
+        """Hashes of all runs of ``n`` items."""
+        return mixed((self.sums[n:] - self.sums[:-n]) * self.down[:len(self.sums) - n])
 
 
 class Items:
-    """Items of several texts in one buffer: byte ranges and the number of the first item of each text."""
+    """Items of several UTF-8 texts in one buffer: byte ranges and the number of the first item of each text; of words
+    also the two halves of their digests."""
 
-    def __init__(self, texts: list[str], words: bool):
+    def __init__(self, raw: list[bytes], words: bool):
         if words:
-            split = [t.encode().split() for t in texts]
+            from xxhash import xxh3_128_digest
+
+            split = [r.split() for r in raw]
             counts = np.array([len(w) for w in split], np.int64)
             flat = [w for ws in split for w in ws]
             lengths = np.fromiter(map(len, flat), np.int64, len(flat))
             self.data = np.frombuffer(b" ".join(flat), np.uint8)
             self.starts = np.cumsum(lengths + 1) - lengths - 1
             self.ends = self.starts + lengths
+            self.digests = np.frombuffer(b"".join(map(xxh3_128_digest, flat)), "<u8").reshape(-1, 2)
         else:
-            raw = [t.encode() for t in texts]
             counts = np.array([len(r) for r in raw], np.int64)
             self.data = np.frombuffer(b"".join(raw), np.uint8)
             self.starts = np.arange(len(self.data))
             self.ends = self.starts + 1
+            self.digests = None
         self.counts, self.first = counts, np.cumsum(counts) - counts
 
     def runs(self, hashes: RangeHash, window: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -91,7 +103,7 @@ class Items:
         n = len(self.starts)
         if n < window:
             return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
-        low = hashes(self.starts[:n - gram + 1], self.ends[gram - 1:])
+        low = hashes.every(gram)
         span, held = window - gram + 1, 1
         while 2 * held <= span:
             low, held = np.minimum(low[:-held], low[held:]), 2 * held
@@ -201,9 +213,10 @@ class Finder:
             for batch in batches:
                 texts = batch.column(1).to_pylist()
                 for a, b in slices(texts, SLICE_CHARS):
-                    items = Items(texts[a:b], words)
-                    hashes.load(items.data)
-                    yield batch.slice(a, b - a), texts[a:b], items, *items.runs(hashes, window, gram)
+                    raw = [t.encode() for t in texts[a:b]]
+                    items = Items(raw, words)
+                    hashes.load(items)
+                    yield batch.slice(a, b - a), raw, items, *items.runs(hashes, window, gram)
 
         return walk
 
@@ -262,21 +275,20 @@ class Finder:
             from zlib import crc32
 
             bits_, digests = shared.value, RangeHash(1)
-            for batch, texts, items, text, head, size, anchor in walk(batches):
+            for batch, raw, items, text, head, size, anchor in walk(batches):
                 yes = held(bits_, anchor)
                 if not yes.any():
                     continue
                 text, head, size, anchor = text[yes], head[yes], size[yes], anchor[yes]
-                digests.load(items.data)
-                last = head + size + window - 2
-                starts, ends = items.starts[head], items.ends[last]
-                tags = np.array([crc32(t.encode()) for t in texts], np.int64)
-                columns = [pa.array(anchor.view(np.int64)), pa.array(digests(starts, ends).view(np.int64)),
+                digests.load(items)
+                many = size + window - 1
+                tags = np.fromiter(map(crc32, raw), np.int64, len(raw))
+                columns = [pa.array(anchor.view(np.int64)), pa.array(digests(head, many).view(np.int64)),
                            batch.column(0).take(pa.array(text)), pa.array((tags[text] << 32) + head - items.first[text]), pa.array(size.astype(np.int32))]
                 names = ["anchor", "digest", "k", "at", "n"]
                 if content:
-                    raw = items.data.tobytes()
-                    columns.append(pa.array([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())], pa.binary()))
+                    data, starts, ends = items.data.tobytes(), items.starts[head], items.ends[head + many - 1]
+                    columns.append(pa.array([data[a:b] for a, b in zip(starts.tolist(), ends.tolist())], pa.binary()))
                     names.append("content")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -289,29 +301,16 @@ def windows_in_smaller(distinct: DataFrame, window: int, words: bool) -> DataFra
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = RangeHash(0), RangeHash(1)
         for b in batches:
-            raw = b.column("content").to_pylist()
-            items = Items([], words)
-            parts = [r.split(b" ") for r in raw] if words else raw
-            counts = np.array([len(p) for p in parts], np.int64)
-            if words:
-                lengths = np.array([len(w) for p in parts for w in p], np.int64)
-                starts = np.cumsum(lengths + 1) - lengths - 1
-                data, ends = np.frombuffer(b" ".join(raw), np.uint8), starts + lengths
-            else:
-                data = np.frombuffer(b"".join(raw), np.uint8)
-                starts = np.arange(len(data))
-                ends = starts + 1
-            items.first = np.cumsum(counts) - counts
-            many = counts - window + 1
-            own = np.repeat(np.arange(len(raw)), many)
+            items = Items(b.column("content").to_pylist(), words)
+            many = items.counts - window + 1
+            own = np.repeat(np.arange(len(many)), many)
             offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             a = items.first[own] + offset
-            one.load(data)
-            two.load(data)
-            s, e = starts[a], ends[a + window - 1]
+            one.load(items)
+            two.load(items)
             take = pa.array(own)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(one(s, e).view(np.int64)), pa.array(two(s, e).view(np.int64)), b.column("low").take(take), b.column("anchor").take(take),
+                [pa.array(one(a, window).view(np.int64)), pa.array(two(a, window).view(np.int64)), b.column("low").take(take), b.column("anchor").take(take),
                  b.column("digest").take(take), pa.array(offset.astype(np.int32))], ["h1", "h2", "low", "anchor", "digest", "o"])
 
     rows = distinct.select("anchor", "digest", "low", "content").mapInArrow(
@@ -348,7 +347,7 @@ def repeated_ranges(finder: Finder, inner: Callable[[DataFrame], DataFrame], nam
     found = finder.fragments(finder.bits_of(known))
     return (found.join(known, ["anchor", "digest"])
             .select("k", F.shiftrightunsigned("at", 32).alias("tag"), F.when(F.col("k") > F.col("low"), all_).otherwise(some).alias("r"))
-            .where(F.size("r") > 0).groupBy("k", "tag").agg(F.flatten(F.collect_list("r")).alias("ranges")))
+            .where(F.size("r") > 0).groupBy("k", "tag").agg(F.flatten(F.collect_set("r")).alias("ranges")))
 
 
 def with_ranges(finder: Finder, rows: DataFrame, ranges: DataFrame) -> tuple[DataFrame, DataFrame]:
