@@ -38,16 +38,24 @@ def _passes(kind: str, hit: str) -> str:
 def spans_sql(kind: str, text: str) -> str:
     """SQL for the matches of one kind as an array of ``(start, end, value)``, end exclusive.
 
-    A match starts after the lengths of all gaps and matches before it: ``split`` gives the gaps between
-    leftmost matches and ``regexp_extract_all`` the matches.
+    A match starts after the lengths of all gaps and matches before it: ``split`` gives the gaps between leftmost
+    matches and ``regexp_extract_all`` the matches. The sums are formed twice over, first inside runs of about the
+    square root of their number and then over the runs, so that a text of n matches costs n^1.5 additions of
+    numbers and no array grows match by match.
     """
     pattern = quoted(PATTERNS[kind])
     none = "cast(array() as array<struct<s:bigint,e:bigint,v:string>>)"
-    walk = (f"aggregate(zip_with(slice(split(t, {pattern}, -1), 1, size(h)), h, (g, m) -> struct(length(g) as g, m as m)), "
-            f"named_struct('at', 0L, 'out', {none}), (a, x) -> named_struct('at', a.at + x.g + length(x.m), 'out', "
-            f"if({_passes(kind, 'x.m')}, concat(a.out, array(named_struct('s', a.at + x.g, 'e', a.at + x.g + length(x.m), "
-            f"'v', {_value(kind, 'x.m')}))), a.out)), a -> a.out)")
-    found = let(f"regexp_extract_all(t, {pattern}, 0)", "h", f"if(size(h) = 0, {none}, {walk})")
+    # lengths of a gap with its match; a run ends before the next begins
+    steps = f"zip_with(slice(split(t, {pattern}, -1), 1, size(h)), h, (g, m) -> cast(length(g) + length(m) as bigint))"
+    runs = "transform(sequence(0, cast((size(l) - 1) div w as int)), r -> slice(l, r * w + 1, w))"
+    total = "aggregate({}, 0L, (a, x) -> a + x)".format
+    totals = f"transform(p, q -> {total('q')})"
+    begun = f"transform(c, (x, r) -> {total('slice(c, 1, r)')})"
+    ends = f"flatten(zip_with(p, b, (q, o) -> transform(q, (x, i) -> o + {total('slice(q, 1, i + 1)')})))"
+    ends = let("cast(ceil(sqrt(size(l))) as int)", "w", let(runs, "p", let(totals, "c", let(begun, "b", ends))))
+    hits = f"zip_with({let(steps, 'l', ends)}, h, (e, m) -> named_struct('s', e - length(m), 'e', e, 'v', m))"
+    kept = f"transform(filter({hits}, x -> {_passes(kind, 'x.v')}), x -> named_struct('s', x.s, 'e', x.e, 'v', {_value(kind, 'x.v')}))"
+    found = let(f"regexp_extract_all(t, {pattern}, 0)", "h", f"if(size(h) = 0, {none}, {kept})")
     return let(text, "t", found)
 
 
