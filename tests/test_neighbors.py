@@ -1,13 +1,17 @@
 """Neighbour operators and clustering against direct evaluation, in every placement."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from topicloom.operators.assign import Rule, best_matches
 from topicloom.operators.components import connected_components
 from topicloom.operators.dbscan import dbscan
-from topicloom.operators.neighbors import copy_edges, degrees, distinct_points, eps_edges, links, neighbor_counts, place
+from topicloom.operators.kernel import PAIRS, category_table, signatures
+from topicloom.operators.neighbors import BOTH, copy_edges, degrees, distinct_points, eps_edges, links, neighbor_counts, place, tile_edges
 from topicloom.operators.ordinal import number_keys, number_within
 from topicloom.operators.lookup import share_categories
 from topicloom.settings import Metric
@@ -231,3 +235,37 @@ def test_null_and_ragged_vectors_are_refused():
     for rows in ([[1.0, 2.0, 3.0, 4.0], None], [[1.0, 2.0], [3.0]]):
         with pytest.raises(ValueError):
             vectors(pa.table({"v": rows}), "v")
+
+
+def test_dense_tile_streams_its_edges():
+    """Every pair of 3,000 points is an edge: 4.5 million rows leave in bounded batches and are never held at once."""
+    n = 3_000
+    ids = [f"i{k:05d}" for k in np.random.default_rng(1).permutation(n)]
+    x = np.random.default_rng(2).normal(size=(n, 2)) * 0.01
+    table = pa.table({"id": ids, "part": ["p"] * n, "side": pa.array([BOTH] * n), "cats": pa.array([["a"]] * n), "shares": pa.array([[1.0]] * n),
+                      **{c: pa.array(x.tolist()) for c in ("title_vec", "content_vec")}})
+    before, seen, total = pa.total_allocated_bytes(), 0, 0.0
+    tracemalloc.start()
+    for batch in tile_edges(table, category_table(["a"], ["a"], [0.0]), METRIC, EPS):
+        assert batch.num_rows <= PAIRS and pa.total_allocated_bytes() - before < 32 << 20
+        first, last = batch.slice(0, 1).to_pylist()[0], batch.slice(batch.num_rows - 1).to_pylist()[0]
+        assert first["src"] < first["dst"] and last["src"] < last["dst"]
+        seen, total = seen + batch.num_rows, total + float(batch.column("distance").to_numpy().sum())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    gap = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    assert seen == n * (n - 1) // 2 and total == pytest.approx(0.9 * gap.sum() / 2, rel=1e-6)
+    assert peak < 150 << 20
+
+
+def test_signatures_of_lists():
+    lists = [["a", "b"], [], ["b", "a"], ["a", "b"], ["a"], ["a", "b"]]
+    shares = [[0.5, 0.5], [], [0.5, 0.5], [0.5, 0.5], [1.0], [0.25, 0.75]]
+    cats = pa.chunked_array([lists[:2], lists[2:]], pa.list_(pa.string()))
+    parts = pa.chunked_array([shares[:3], shares[3:]], pa.list_(pa.float64()))
+    for a, b in ((0, 6), (1, 5), (3, 3)):
+        sig, (names, values) = signatures(cats.slice(a, b - a), parts.slice(a, b - a))
+        assert [(names[s], values[s]) for s in sig] == list(zip(lists, shares))[a:b]
+        assert len(names) == len({(*c, *s) for c, s in list(zip(lists, shares))[a:b]})
+    with pytest.raises(ValueError):
+        signatures(cats.slice(0, 1), parts.slice(1, 1))

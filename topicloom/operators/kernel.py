@@ -12,8 +12,8 @@ import pyarrow as pa
 
 from ..settings import DIGITS, Metric
 
-#: Rows of the left block handled per matrix product, and pairs per exact evaluation.
-STRIP = 512
+#: Rows of the left block and pairs handled per matrix product at most, and pairs per exact evaluation.
+STRIP, STRIP_PAIRS = 512, 1 << 20
 PAIRS = 65_536
 
 
@@ -50,6 +50,30 @@ def vectors(table: pa.Table, column: str) -> np.ndarray:
     return flat.reshape(len(data), -1) if len(data) else np.zeros((0, 1))
 
 
+def signatures(cats: pa.ChunkedArray, shares: pa.ChunkedArray) -> tuple[np.ndarray, tuple[list[list], list[list]]]:
+    """The number of each row's pair of lists, and the distinct pairs. Rows of one length are told apart as rows of a
+    matrix of name numbers and shares, so only distinct pairs become Python lists."""
+    if cats.null_count or shares.null_count:
+        raise ValueError("cats and shares must not be null")
+    size = cats.combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
+    if not np.array_equal(size, shares.combine_chunks().value_lengths().to_numpy(zero_copy_only=False)):
+        raise ValueError("cats and shares must have one length")
+    sig, first = np.zeros(len(size), dtype=np.int64), []
+    names = pa.concat_arrays([c.flatten() for c in cats.chunks] or [pa.array([], pa.string())]).dictionary_encode().indices
+    codes = names.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    parts = pa.concat_arrays([c.flatten() for c in shares.chunks] or [pa.array([], pa.float64())])
+    parts = parts.to_numpy(zero_copy_only=False).astype(float).view(np.int64)
+    start = np.cumsum(size) - size
+    for n in np.unique(size).tolist():
+        rows = np.nonzero(size == n)[0]
+        at = start[rows][:, None] + np.arange(n)
+        _, one, own = np.unique(np.hstack([codes[at], parts[at]]), axis=0, return_index=True, return_inverse=True) if n else (None, [0], 0)
+        sig[rows] = len(first) + np.reshape(own, -1)
+        first += rows[one].tolist()
+    take = pa.array(first, pa.int64())
+    return sig, (cats.take(take).to_pylist(), shares.take(take).to_pylist())
+
+
 class Block:
     """Points of one task with their category lists reduced to distinct signatures."""
 
@@ -57,20 +81,14 @@ class Block:
         self.ids = table.column("id").to_numpy()
         self.vec = {c: vectors(table, c) for c in columns}
         self.sq = {c: np.einsum("ij,ij->i", v, v) for c, v in self.vec.items()}
-        keys: dict[tuple, int] = {}
-        self.sig = np.zeros(len(self.ids), dtype=np.int64)
-        cats, shares = table.column("cats").to_pylist(), table.column("shares").to_pylist()
-        for row, (c, s) in enumerate(zip(cats, shares)):
-            self.sig[row] = keys.setdefault((*c, *s), len(keys))
-        keys = {(k[:len(k) // 2], k[len(k) // 2:]): row for k, row in keys.items()}
-        self.names = sorted({n for c, _ in keys for n in c})
+        self.sig, (cats, shares) = signatures(table.column("cats"), table.column("shares"))
+        self.names = sorted({n for c in cats for n in c})
         at = {n: i for i, n in enumerate(self.names)}
-        self.weights = np.zeros((len(keys), len(self.names)))
-        self.counts = np.zeros((len(keys), len(self.names)))
-        self.bare = np.zeros(len(keys), dtype=bool)
-        for (cats, shares), row in keys.items():
-            self.bare[row] = not cats
-            for n, s in zip(cats, shares):
+        self.weights = np.zeros((len(cats), len(self.names)))
+        self.counts = np.zeros((len(cats), len(self.names)))
+        self.bare = np.array([not c for c in cats], dtype=bool)
+        for row, (names, parts) in enumerate(zip(cats, shares)):
+            for n, s in zip(names, parts):
                 self.weights[row, at[n]] += s
                 self.counts[row, at[n]] += 1.0
 
@@ -115,8 +133,9 @@ def near(a: Block, b: Block, metric: Metric, categories: dict, bound, half: bool
     slack = 1e-6 * scale
     limit = np.asarray(bound, dtype=float) + slack
     columns = sorted(metric.vectors, key=lambda v: -v[1])
-    for start in range(0, len(a), STRIP):
-        rows = slice(start, min(start + STRIP, len(a)))
+    step = max(1, min(STRIP, STRIP_PAIRS // len(b)))
+    for start in range(0, len(a), step):
+        rows = slice(start, min(start + step, len(a)))
         total = np.zeros((rows.stop - rows.start, len(b)))
         for column, weight in columns:
             sq = a.sq[column][rows, None] + b.sq[column][None, :] - 2.0 * (a.vec[column][rows] @ b.vec[column].T)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from ..settings import DIGITS, Metric
-from .kernel import Block, category_table, category_terms, exact, unite, within
+from .kernel import PAIRS, Block, category_table, category_terms, exact, unite, within
 from .lookup import CategoryPairs
 
 #: Rows of a block: the larger the blocks, the fewer copies of a row are shuffled; the bound keeps a
@@ -251,22 +251,26 @@ def eps_edges(points: DataFrame, metric: Metric, eps: float, categories: Categor
 
     read = categories.reader()
 
-    def run(table: pa.Table) -> pa.Table:
-        table, listed = read(table)
-        out = []
-        for part, a, b, same, _, _ in _blocks(table, metric):
-            for i, j, d in within(a, b, metric, listed, eps, half=same, distances=True):
-                left, right = a.ids[i], b.ids[j]
-                out.append(pa.table({
-                    "part": pa.array([part] * len(d), pa.string()),
-                    "src": pa.array(np.minimum(left, right), pa.string()),
-                    "dst": pa.array(np.maximum(left, right), pa.string()),
-                    "distance": pa.array(d, pa.float64())}))
-        return pa.concat_tables(out) if out else _empty("part", "src", "dst", distance=pa.float64())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from tile_edges(*read(pa.Table.from_batches(list(batches))), metric, eps)
 
     return categories.sent(tiles.rows).groupBy("tile").applyInArrow(run, "part string, src string, dst string, distance double")
 
 
+def tile_edges(table: pa.Table, listed: dict, metric: Metric, eps: float) -> Iterator[pa.RecordBatch]:
+    """The edges of one tile, at most ``PAIRS`` a batch: besides its points a task holds one strip of a comparison
+    (``STRIP_PAIRS`` pairs, about 100 MB), however many edges the tile has. Ends are ordered by the rank of their id."""
+    for part, a, b, same, _, _ in _blocks(table, metric):
+        ids, rank = np.unique(a.ids if same else np.concatenate([a.ids, b.ids]), return_inverse=True)
+        ids, x, y = pa.array(ids, pa.string()), rank[:len(a)], rank if same else rank[len(a):]
+        for i, j, d in within(a, b, metric, listed, eps, half=same, distances=True):
+            for s in range(0, len(d), PAIRS):
+                u, v = x[i[s:s + PAIRS]], y[j[s:s + PAIRS]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(part, pa.string()), len(u)), ids.take(pa.array(np.minimum(u, v))), ids.take(pa.array(np.maximum(u, v))),
+                     pa.array(d[s:s + PAIRS])], ["part", "src", "dst", "distance"])
+
+
 def _own_distance_edges(points, metric, eps, categories, distance, **sizes) -> DataFrame:
     column, weight = metric.gate
     gate = Metric(((column, weight),), 0.0, 0.0, 0.0, False, False)
