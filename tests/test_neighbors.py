@@ -1,6 +1,7 @@
 """Neighbour operators and clustering against direct evaluation, in every placement."""
 
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -11,9 +12,11 @@ from topicloom.operators.assign import Rule, best_matches
 from topicloom.operators.components import connected_components
 from topicloom.operators.dbscan import dbscan
 from topicloom.operators.kernel import PAIRS, category_table, signatures
-from topicloom.operators.neighbors import BOTH, copy_edges, degrees, distinct_points, eps_edges, links, neighbor_counts, place, tile_edges
+from topicloom.operators.neighbors import (BOTH, copy_edges, core_points, degrees, distinct_points, eps_edges, links, nearby_order, neighbor_counts,
+                                           place, place_across, tile_edges)
 from topicloom.operators.ordinal import number_keys, number_within
 from topicloom.operators.lookup import share_categories
+from topicloom.session import cut
 from topicloom.settings import Metric
 
 METRIC = Metric((("title_vec", 0.8), ("content_vec", 0.1)), 0.1, 1.0, 1.0, True, False)
@@ -269,3 +272,46 @@ def test_signatures_of_lists():
         assert len(names) == len({(*c, *s) for c, s in list(zip(lists, shares))[a:b]})
     with pytest.raises(ValueError):
         signatures(cats.slice(0, 1), parts.slice(1, 1))
+
+
+def test_two_sides_meet_only_in_reach(spark, categories, truth):
+    """Every pair within eps shares one tile, exactly once; cells out of reach are not copied; crowded cells are cut."""
+    ids, parts, x, cats, near = truth
+    points = cut(frame(spark, ids, parts, x, cats), "points")
+    left = points.where(F.pmod(F.xxhash64("id"), F.lit(3)) == 0)
+    chosen = {r.id for r in left.select("id").collect()}
+    want = {(ids[i], ids[j]) for a, b in near for i, j in ((a, b), (b, a)) if ids[i] in chosen}
+    for sizes in (dict(block_rows=25, anchor_blocks=1), dict(block_rows=7, anchor_blocks=2), dict(block_rows=40, anchor_blocks=1000)):
+        tiles = place_across(left, points, METRIC, EPS, categories, **sizes).select("tile", "part", "side", "id").collect()
+        held = {}
+        for r in tiles:
+            held.setdefault((r.tile, r.part), ([], []))[r.side].append(r.id)
+        met = Counter((i, j) for l, r in held.values() for i in l for j in r)
+        assert max(met.values()) == 1 and want <= met.keys()
+        assert all(max(len(l), len(r)) <= 2 * sizes["block_rows"] for (t, _), (l, r) in held.items() if t[0] == "a")
+        assert any(t[0] == "a" for t, _ in held) == (sizes["anchor_blocks"] < 1000)
+        if sizes["anchor_blocks"] == 1000:
+            assert len(met) == sum(1 for i, p in zip(ids, parts) if i in chosen for q in parts if p == q)
+
+
+def test_far_topics_are_not_copied(spark, categories):
+    """Twenty topics far apart, left points in one of them: the others' rows stay where they are."""
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(20, 6)) * 30, 40, axis=0) + rng.normal(size=(800, 6)) * 0.01
+    ids = [f"i{k:03d}" for k in range(800)]
+    points = cut(frame(spark, ids, ["p"] * 800, x, [["a"]] * 800), "points")
+    tiles = place_across(points.where("id < 'i010'"), points, METRIC, EPS, categories, block_rows=20, anchor_blocks=1)
+    copied = {r.id for r in tiles.where(F.col("side") == 1).select("id").collect()}
+    assert set(ids[:40]) <= copied and len(copied) <= 120
+    flags = core_points(points, METRIC, EPS, categories, 41, block_rows=20, anchor_blocks=1).collect()
+    assert len(flags) == 800 and not any(r.core for r in flags)
+    flags = core_points(points, METRIC, EPS, categories, 40, block_rows=20, anchor_blocks=1).collect()
+    assert len(flags) == 800 and all(r.core for r in flags)
+
+
+def test_nearby_order():
+    x = np.random.default_rng(0).normal(size=(257, 5))
+    order = nearby_order(x)
+    assert sorted(order.tolist()) == list(range(257)) and nearby_order(x[:0]).tolist() == []
+    step = lambda o: np.linalg.norm(np.diff(x[o], axis=0), axis=1).mean()
+    assert step(order) < 0.9 * step(np.arange(257))

@@ -26,13 +26,12 @@ def dbscan(points: DataFrame, metric: Metric, eps: float, categories: CategoryPa
     if min_samples == 2:
         return _connected(points, metric, eps, categories, **sizes)
 
-    block = {k: v for k, v in sizes.items() if k == "block_rows"}
-    flags = cut(core_points(points, metric, eps, categories, min_samples, **block), "core-flags")
+    flags = cut(core_points(points, metric, eps, categories, min_samples, **sizes), "core-flags")
     core = points.join(flags.where("core").select("id"), "id", "left_semi")
     joined = _connected(core, metric, eps, categories, **sizes).select("id", "root")
     rooted = cut(core.join(joined, "id", "left").withColumn("root", F.coalesce("root", "id")), "cores")
     loose = points.join(flags.where("not core").select("id"), "id", "left_semi")
-    border = smallest_roots(loose, rooted, metric, eps, categories, **block)
+    border = smallest_roots(loose, rooted, metric, eps, categories, **sizes)
     return rooted.select("part", "id", "root").unionByName(border)
 
 

@@ -24,12 +24,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
 from ..settings import DIGITS, Metric
-from .kernel import PAIRS, Block, category_table, category_terms, exact, unite, within
+from .kernel import PAIRS, Block, category_table, category_terms, exact, unite, vectors, within
 from .lookup import CategoryPairs
 
 #: Rows of a block: the larger the blocks, the fewer copies of a row are shuffled; the bound keeps a
@@ -102,13 +102,16 @@ def place(points: DataFrame, metric: Metric, eps: float, categories: CategoryPai
     return Tiles(small_rows.unionByName(rows), links, False)
 
 
-def _place_by_anchors(points: DataFrame, columns: list[str], metric: Metric, eps: float,
-                      categories: CategoryPairs, connect: bool, block_rows: int, anchors: int) -> tuple[DataFrame, DataFrame | None]:
-    sample = (points.select("id", "part", *metric.columns, "cats", "shares")
-              .orderBy(F.xxhash64("id"), "id").limit(anchors).toArrow())
+def _anchors(points: DataFrame, metric: Metric, n: int) -> pa.Table:
+    """A uniform sample that does not depend on how the points are partitioned."""
+    return points.select("id", "part", *metric.columns, "cats", "shares").orderBy(F.xxhash64("id"), "id").limit(n).toArrow()
+
+
+def _cells(points: DataFrame, sample: pa.Table, metric: Metric, eps: float, categories: CategoryPairs, connect: bool) -> DataFrame:
+    """The points with the ``cell`` of their nearest anchor (-1 in a part without one); some rows also say how far their
+    cell goes towards the others. With ``connect`` also an anchor within ``eps`` and the anchors a batch connects."""
     owner = np.asarray(sample.column("part").to_pylist(), dtype=object)
-    anchor_ids = sample.column("id").to_pylist()
-    gate, gate_weight = metric.gate
+    gate = metric.gate[0]
     shared, unlisted = categories.shared, category_table([], [], [])
 
     def annotate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,9 +161,32 @@ def _place_by_anchors(points: DataFrame, columns: list[str], metric: Metric, eps
             yield from table.to_batches()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema.fields)
-    placed = cut(points.mapInArrow(
+    return cut(points.mapInArrow(
         annotate, f"{fields}, cell int, star int, reach array<struct<a:int,b:int>>, bound array<double>"), "cells")
 
+
+def _reach(placed: DataFrame) -> DataFrame:
+    """``(cell, other, t)``: the furthest that a point of a cell lies on the line from its anchor to another one."""
+    return (placed.where("bound is not null").select("cell", F.posexplode("bound").alias("other", "t"))
+            .where("not isnan(t)").groupBy("cell", "other").agg(F.max("t").alias("t")))
+
+
+def _open_cells(one: DataFrame, two: DataFrame, metric: Metric, eps: float) -> DataFrame:
+    """``(cell, other)``: cells of the first table that may hold a point within ``eps`` of one in a cell of the second.
+    Cells i and j are at least -T(i,j) - T(j,i) apart, T = furthest reach of a cell towards the other."""
+    mirrored = two.select(F.col("cell").alias("other"), F.col("other").alias("cell"), F.col("t").alias("u"))
+    unplaced = one.sparkSession.range(1).select(F.lit(-1).alias("cell"), F.lit(-1).alias("other"))
+    return (one.join(mirrored, ["cell", "other"])
+            .where((F.col("cell") == F.col("other")) | (-(F.col("t") + F.col("u")) * metric.gate[1] <= eps + 1e-5))
+            .select("cell", "other").unionByName(unplaced))
+
+
+def _place_by_anchors(points: DataFrame, columns: list[str], metric: Metric, eps: float,
+                      categories: CategoryPairs, connect: bool, block_rows: int, anchors: int) -> tuple[DataFrame, DataFrame | None]:
+    sample = _anchors(points, metric, anchors)
+    anchor_ids = sample.column("id").to_pylist()
+    placed = _cells(points, sample, metric, eps, categories, connect)
+
     # anchors joined by some point; at most the square of their number, as small integers
     merged = np.arange(len(anchor_ids))
     if connect:
@@ -169,21 +195,14 @@ def _place_by_anchors(points: DataFrame, columns: list[str], metric: Metric, eps
     solid = F.array(*[F.lit(int(m)) for m in merged])
     placed = placed.withColumn("solid", F.when(F.col("star") >= 0, F.get(solid, F.col("star"))).otherwise(-1))
 
-    # Cells i and j are at least -T(i,j) - T(j,i) apart, T = furthest reach of a cell towards the other
-    reachable = (placed.where("bound is not null").select("cell", F.posexplode("bound").alias("other", "t"))
-                 .where("not isnan(t)").groupBy("cell", "other").agg(F.max("t").alias("t")))
-    mirrored = reachable.select(F.col("cell").alias("other"), F.col("other").alias("cell"), F.col("t").alias("u"))
-    slack = 1e-5
-    open_cells = (reachable.join(mirrored, ["cell", "other"])
-                  .where((F.col("cell") == F.col("other")) | (-(F.col("t") + F.col("u")) * gate_weight <= eps + slack))
-                  .select("cell", "other"))
-    unplaced = points.sparkSession.range(1).select(F.lit(-1).alias("cell"), F.lit(-1).alias("other"))
+    reach = _reach(placed)
+    open_cells = _open_cells(reach, reach, metric, eps)
     groups = cut(placed.groupBy("part", "cell", "solid").agg(F.count(F.lit(1)).alias("n")).select(
         "part", "cell", "solid", F.concat_ws("|", "part", "cell", "solid").alias("gid"),
         F.ceil(F.col("n") / block_rows).cast("int").alias("k")), "groups")
     other = groups.select("part", F.col("cell").alias("other"), F.col("solid").alias("osolid"),
                           F.col("gid").alias("ogid"), F.col("k").alias("ok"))
-    partners = (groups.join(open_cells.unionByName(unplaced), "cell").join(other, ["part", "other"])
+    partners = (groups.join(open_cells, "cell").join(other, ["part", "other"])
                 .where((F.col("solid") < 0) | (F.col("solid") != F.col("osolid")))
                 .select("part", "cell", "solid", "gid", "k", "ogid", "ok"))
     o = F.col("__o")
@@ -201,24 +220,84 @@ def _place_by_anchors(points: DataFrame, columns: list[str], metric: Metric, eps
     return rows, links.where("node <> root")
 
 
-def place_across(left: DataFrame, right: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Tiles in which every left point meets every right point of its part. Few left points cost
-    one copy of the right ones."""
+def place_across(left: DataFrame, right: DataFrame, metric: Metric, eps: float, categories: CategoryPairs,
+                 block_rows: int = BLOCK_ROWS, anchor_blocks: int = ANCHOR_BLOCKS) -> DataFrame:
+    """Tiles in which every left point meets every right point of its part within ``eps``.
+
+    In a part of few blocks every left block meets every right block, so few left points cost one copy of the right
+    ones. In a larger one only blocks with cells in reach of each other meet: right points that no left point is
+    near are not copied at all.
+    """
     def sized(side: DataFrame, name: str) -> DataFrame:
         return side.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
 
     sizes = cut(sized(left, "kl").join(sized(right, "kr"), "part"), "blocks")
-    bins = max(1, sizes.count() // 64)
+    parts, blocks, most = sizes.agg(F.count(F.lit(1)), F.sum(F.col("kl") + F.col("kr")), F.max(F.greatest("kl", "kr"))).first()
+    bins = max(1, parts // 64)
+    large = F.greatest("kl", "kr") > anchor_blocks
 
     def dealt(side: DataFrame, own: str, other: str, flag: int) -> DataFrame:
-        rows = side.join(sizes, "part").withColumn("__b", F.pmod(F.xxhash64("id"), F.col(own)))
+        rows = side.join(sizes.where(~large), "part").withColumn("__b", F.pmod(F.xxhash64("id"), F.col(own)))
         rows = rows.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         pair = ["__b", "__o"] if flag == LEFT else ["__o", "__b"]
         small = F.concat(F.lit("p"), F.pmod(F.xxhash64("part"), F.lit(bins)))
         tile = F.when((F.col("kl") == 1) & (F.col("kr") == 1), small).otherwise(F.concat_ws(":", F.lit("b"), "part", *pair))
         return rows.select(*side.columns, tile.alias("tile"), F.lit(flag).alias("side"))
 
-    return dealt(left, "kl", "kr", LEFT).unionByName(dealt(right, "kr", "kl", RIGHT), allowMissingColumns=True)
+    near = dealt(left, "kl", "kr", LEFT).unionByName(dealt(right, "kr", "kl", RIGHT), allowMissingColumns=True)
+    if (most or 0) <= anchor_blocks:
+        return near
+    names = sizes.where(large).select("part")
+    sides = [side.join(names, "part", "left_semi") for side in (left, right)]
+    far = _across_by_anchors(*sides, metric, eps, categories, block_rows, min(MANY_ANCHORS, max(FEW_ANCHORS, 4 * blocks)))
+    return near.unionByName(far, allowMissingColumns=True)
+
+
+def _across_by_anchors(left: DataFrame, right: DataFrame, metric: Metric, eps: float, categories: CategoryPairs,
+                       block_rows: int, anchors: int) -> DataFrame:
+    """Both sides go to the cells of one set of anchors. Neighbouring cells of a side form bundles of about a block, a
+    crowded cell is cut into blocks, and bundles meet if any of their cells are in reach of each other."""
+    sample = _anchors(right, metric, anchors)
+    rank = np.argsort(nearby_order(vectors(sample, metric.gate[0])))
+    rank = F.array(*[F.lit(int(r)) for r in rank])
+    cells = [_cells(side, sample, metric, eps, categories, connect=False) for side in (left, right)]
+
+    def bundled(placed: DataFrame, name: str) -> DataFrame:
+        n = placed.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("n"))
+        # at most one row per anchor in all, and one for each part without anchors
+        before = Window.partitionBy("part").orderBy(F.when(F.col("cell") >= 0, F.get(rank, F.col("cell"))).otherwise(-1))
+        crowded = F.col("n") >= block_rows
+        small = F.sum(F.when(crowded, 0).otherwise(F.col("n"))).over(before)
+        bundle = F.when(crowded, F.concat(F.lit("c"), "cell")).otherwise(F.concat(F.lit("s"), F.floor((small - 1) / block_rows)))
+        return cut(n.select("part", "cell", bundle.alias(name), F.when(crowded, F.ceil(F.col("n") / block_rows)).otherwise(1).cast("int").alias(f"{name}_k")),
+                   "bundles")
+
+    lefts, rights = bundled(cells[0], "lb"), bundled(cells[1], "rb")
+    met = cut(lefts.join(_open_cells(_reach(cells[0]), _reach(cells[1]), metric, eps), "cell")
+              .join(rights.withColumnRenamed("cell", "other"), ["part", "other"]).select("part", "lb", "lb_k", "rb", "rb_k").distinct(), "met")
+
+    def dealt(side: DataFrame, placed: DataFrame, bundles: DataFrame, own: str, other: str, flag: int) -> DataFrame:
+        rows = placed.join(bundles.select("part", "cell", own), ["part", "cell"]).join(met, ["part", own])
+        rows = rows.withColumn("__b", F.pmod(F.xxhash64("id"), F.col(f"{own}_k")))
+        rows = rows.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col(f"{other}_k") - 1)))
+        mine, theirs = F.concat_ws("#", own, "__b"), F.concat_ws("#", other, "__o")
+        tile = F.concat_ws(":", F.lit("a"), "part", *((mine, theirs) if flag == LEFT else (theirs, mine)))
+        return rows.select(*side.columns, tile.alias("tile"), F.lit(flag).alias("side"))
+
+    return dealt(left, cells[0], lefts, "lb", "rb", LEFT).unionByName(dealt(right, cells[1], rights, "rb", "lb", RIGHT), allowMissingColumns=True)
+
+
+def nearby_order(x: np.ndarray) -> np.ndarray:
+    """Row numbers such that neighbours in the order are close: halves along the widest direction, again and again."""
+    def halves(at: np.ndarray) -> np.ndarray:
+        if len(at) <= 2:
+            return at
+        y = x[at] - x[at].mean(axis=0)
+        along = y @ np.linalg.eigh(y.T @ y)[1][:, -1]
+        at = at[np.argsort(along, kind="stable")]
+        return np.concatenate([halves(at[:len(at) // 2]), halves(at[len(at) // 2:])])
+
+    return halves(np.arange(len(x)))
 
 
 # -- inside a tile -----------------------------------------------------------------------------
@@ -340,18 +419,18 @@ def degrees(points: DataFrame, metric: Metric, eps: float, categories: CategoryP
 
 
 def core_points(points: DataFrame, metric: Metric, eps: float, categories: CategoryPairs, k: int,
-                block_rows: int = BLOCK_ROWS) -> DataFrame:
+                block_rows: int = BLOCK_ROWS, **sizes) -> DataFrame:
     """``(part, id, core)``: does a point have k neighbours, itself included?
 
     First every block is compared with itself only. In a dense topic that already proves nearly all
-    points core; just the others are then counted against the whole part.
+    points core; just the others are then counted against what is in their reach.
     """
-    sizes = points.groupBy("part").agg(F.count(F.lit(1)).alias("__n"))
-    bins = max(1, math.ceil((sizes.agg(F.sum("__n")).first()[0] or 0) / block_rows))
+    rows = points.groupBy("part").agg(F.count(F.lit(1)).alias("__n"))
+    bins = max(1, math.ceil((rows.agg(F.sum("__n")).first()[0] or 0) / block_rows))
     blocks = F.ceil(F.col("__n") / block_rows).cast("int")
     packed = F.concat(F.lit("p"), F.pmod(F.xxhash64("part"), F.lit(bins)))
     own = F.concat_ws(":", F.lit("b"), "part", F.pmod(F.xxhash64("id"), blocks))
-    alone = (points.join(sizes, "part").withColumn("tile", F.when(blocks == 1, packed).otherwise(own))
+    alone = (points.join(rows, "part").withColumn("tile", F.when(blocks == 1, packed).otherwise(own))
              .withColumn("side", F.lit(BOTH)).withColumn("whole", blocks == 1).drop("__n"))
 
     read = categories.reader()
@@ -382,13 +461,13 @@ def core_points(points: DataFrame, metric: Metric, eps: float, categories: Categ
                                  "n": pa.array(n, pa.int64())}))
         return pa.concat_tables(out) if out else _empty("part", "id", n=pa.int64())
 
-    counted = (categories.sent(place_across(doubtful, points, block_rows)).groupBy("tile").applyInArrow(across, "part string, id string, n long")
+    counted = (categories.sent(place_across(doubtful, points, metric, eps, categories, block_rows, **sizes)).groupBy("tile").applyInArrow(across, "part string, id string, n long")
                .groupBy("part", "id").agg((F.sum("n") + 1 >= k).alias("core")))
     return first.where("known").select("part", "id", "core").unionByName(counted)
 
 
 def smallest_roots(points: DataFrame, rooted: DataFrame, metric: Metric, eps: float, categories: CategoryPairs,
-                   block_rows: int = BLOCK_ROWS) -> DataFrame:
+                   block_rows: int = BLOCK_ROWS, **sizes) -> DataFrame:
     """``(part, id, root)``: the smallest ``root`` among the ``rooted`` points within eps of each
     point. One row per point and tile leaves a task."""
     read = categories.reader()
@@ -406,7 +485,7 @@ def smallest_roots(points: DataFrame, rooted: DataFrame, metric: Metric, eps: fl
                                  "root": pa.array(names[best[hit]], pa.string())}))
         return pa.concat_tables(out) if out else _empty("part", "id", "root")
 
-    found = categories.sent(place_across(points, rooted, block_rows)).groupBy("tile").applyInArrow(run, "part string, id string, root string")
+    found = categories.sent(place_across(points, rooted, metric, eps, categories, block_rows, **sizes)).groupBy("tile").applyInArrow(run, "part string, id string, root string")
     return found.groupBy("part", "id").agg(F.min("root").alias("root"))
 
 
