@@ -342,12 +342,16 @@ def repeated_ranges(finder: Finder, inner: Callable[[DataFrame], DataFrame], nam
         known = settled(groups.join(offsets, ["anchor", "digest"], "left").where("low < high or offsets is not null")
                         .select("anchor", "digest", "low", "offsets"), f"{name}-known")
     at, n = F.col("at").bitwiseAND(F.lit((1 << 32) - 1)), F.col("n").cast("long")
-    all_ = F.array(F.struct(at.alias("a"), (at + n).alias("b")))
-    some = F.transform(F.coalesce("offsets", F.array().cast("array<int>")), lambda o: F.struct((at + o).alias("a"), (at + o + 1).alias("b")))
+    # a range as one number, its end below bit 32: numbers take least room where equal ones of rows alike are told apart
+    packed = lambda a, b: F.shiftleft(a, 32) + b
+    some = F.transform(F.coalesce("offsets", F.array().cast("array<int>")), lambda o: packed(at + o, at + o + 1))
     found = finder.fragments(finder.bits_of(known))
-    return (found.join(known, ["anchor", "digest"])
-            .select("k", F.shiftrightunsigned("at", 32).alias("tag"), F.when(F.col("k") > F.col("low"), all_).otherwise(some).alias("r"))
-            .where(F.size("r") > 0).groupBy("k", "tag").agg(F.flatten(F.collect_set("r")).alias("ranges")))
+    ranges = (found.join(known, ["anchor", "digest"])
+              .select("k", F.shiftrightunsigned("at", 32).alias("tag"),
+                      F.explode(F.when(F.col("k") > F.col("low"), F.array(packed(at, at + n))).otherwise(some)).alias("r"))
+              .groupBy("k", "tag").agg(F.collect_set("r").alias("r")))
+    return ranges.select("k", "tag", F.transform("r", lambda x: F.struct(
+        F.shiftright(x, 32).alias("a"), x.bitwiseAND(F.lit((1 << 32) - 1)).alias("b"))).alias("ranges"))
 
 
 def with_ranges(finder: Finder, rows: DataFrame, ranges: DataFrame) -> tuple[DataFrame, DataFrame]:
