@@ -240,3 +240,17 @@ def test_community_prompt_sections(spark):
             break
         text += line
     assert community_prompts(labels, titles, tags).first()["prompt"] == text
+
+
+def test_few_anchors_gather_no_rows(spark, sf):
+    """Neither the anchors of the feed nor the lead of a bucket shuffle the documents by a handful of keys."""
+    from topicloom.plans.queries import lead_pairs
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = str(lead_pairs(spark, sf)._jdf.queryExecution().sparkPlan())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # the feed is read twice, and each time its documents meet their own vector in a shuffle
+    assert plan.count("SortMergeJoin") == 2 and plan.count("BroadcastHashJoin") == 5
