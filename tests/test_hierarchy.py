@@ -146,3 +146,25 @@ def test_axes_match_eigenvectors(spark):
         assert abs(abs(axis @ expected) - 1) < 1e-9 and axis[np.abs(axis).argmax()] > 0
     reduced = np.array([r[0] for r in reduce_vectors(df, "part", "v").select("reduced").collect()])
     assert reduced.shape == (200, 2) and reduced[:, 0].var() > reduced[:, 1].var()
+
+
+def test_nearest_is_exact():
+    import pyarrow as pa
+
+    from topicloom.operators.kernel import Block, category_table, nearest, strips
+
+    rng = np.random.default_rng(3)
+    metric = Metric((("title_vec", 0.7), ("content_vec", 0.2)), 0.1, 1.0, 1.0, True, False)
+    def block(n):
+        x = rng.normal(size=(n, 4))
+        x[: n // 3] = x[0]
+        return Block(pa.table({"id": [str(i) for i in range(n)], "title_vec": x.tolist(), "content_vec": x[:, ::-1].tolist(),
+                               "cats": [["a"], ["b"], ["a", "b"]] * (n // 3), "shares": [[1.0], [1.0], [0.5, 0.5]] * (n // 3)}), metric.columns)
+    a, b, listed = block(90), block(60), category_table(["a"], ["b"], [0.3])
+    for x, y, same, k in ((a, b, False, 3), (a, a, True, 2), (b, a, False, 200)):
+        d = np.concatenate([part for _, part in strips(x, y, metric, listed)])
+        if same:
+            np.fill_diagonal(d, np.inf)
+        want = np.full((len(x), k), np.inf)
+        want[:, : min(k, len(y))] = np.sort(d, axis=1)[:, :k]
+        assert np.array_equal(nearest(x, y, metric, listed, k, same), want)

@@ -16,6 +16,7 @@ from topicloom.operators.neighbors import (BOTH, copy_edges, core_points, degree
                                            place, place_across, tile_edges)
 from topicloom.operators.ordinal import number_keys, number_within
 from topicloom.operators.lookup import share_categories
+from topicloom.operators.points import cluster_points
 from topicloom.session import cut
 from topicloom.settings import Metric
 
@@ -315,3 +316,54 @@ def test_nearby_order():
     assert sorted(order.tolist()) == list(range(257)) and nearby_order(x[:0]).tolist() == []
     step = lambda o: np.linalg.norm(np.diff(x[o], axis=0), axis=1).mean()
     assert step(order) < 0.9 * step(np.arange(257))
+
+
+def crowd(spark, n):
+    """Points of one dense topic."""
+    rng = np.random.default_rng(11)
+    ids = [f"i{i:04d}" for i in range(n)]
+    return frame(spark, ids, ["p"] * n, rng.normal(size=(n, 6)) * 0.05, [["a"]] * n)
+
+
+def test_rows_are_copied_for_blocks_not_for_cells(spark, categories):
+    """All cells of a dense topic are in reach of each other: its points go to one tile per block, however many cells."""
+    n, rows = 1_200, 100
+    tiles = place(crowd(spark, n), METRIC, EPS, categories, connect=False, block_rows=rows, anchor_blocks=1)
+    assert tiles.rows.count() <= 2 * n * n // rows
+    assert tiles.rows.select("tile").distinct().count() <= (2 * n // rows) ** 2
+
+
+def test_no_radius_needs_no_cells(spark, categories):
+    n, rows = 600, 50
+    tiles = place(crowd(spark, n), METRIC, float("inf"), categories, connect=False, block_rows=rows, anchor_blocks=1)
+    assert tiles.rows.count() == n * n // rows
+
+
+@pytest.mark.parametrize("sizes", PLACEMENTS)
+def test_own_distance_meets_no_join(spark, categories, truth, sizes):
+    """The caller's distance sees the point of the smaller id first, and no pair is joined with its points."""
+    ids, parts, x, cats, _ = truth
+    own = lambda a, b: F.sqrt(F.aggregate(F.zip_with(a["title_vec"], b["title_vec"], lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda t, v: t + v)) * F.when(
+        F.size(a["cats"]) < F.size(b["cats"]), 0.9).otherwise(1.0)
+    points = frame(spark, ids, parts, x, cats)
+    found = eps_edges(points, METRIC, 0.4, categories, distance=own, **sizes)
+    truth_ = {}
+    for i in range(len(ids)):
+        for j in range(i + 1, len(ids)):
+            gap = np.linalg.norm(x[i] - x[j])
+            d = round(gap * (0.9 if len(cats[i]) < len(cats[j]) else 1.0), 9)
+            if parts[i] == parts[j] and gap * 0.8 <= 0.4 and d <= 0.4:
+                truth_[ids[i], ids[j]] = d
+    rows = found.collect()
+    assert len(rows) == len(truth_) and {(r.src, r.dst): pytest.approx(r.distance, abs=1e-8) for r in rows} == truth_
+    if not sizes:
+        joins = str(found._jdf.queryExecution().optimizedPlan()).count("Join")
+        assert joins == str(place(points, METRIC, 0.4, categories, connect=False).rows._jdf.queryExecution().optimizedPlan()).count("Join") or categories.shared is None
+
+
+def test_clusters_without_any_category(spark, categories):
+    schema = "cluster_id string, centroid_embedding array<double>, categories array<struct<category:string,n:bigint>>"
+    rows = [("x", [0.0, 0.0], None), ("y", [0.1, 0.0], [("a", 2)]), ("z", [5.0, 0.0], [])]
+    metric = Metric((("centroid_vec", 0.75),), 0.25, 0.0, 0.0, True, True)
+    found = dbscan(cluster_points(spark.createDataFrame(rows, schema)), metric, 0.2, categories).collect()
+    assert {(r.id, r.root) for r in found} == {("x", "x"), ("y", "x")}
