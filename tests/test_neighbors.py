@@ -2,12 +2,14 @@
 
 import tracemalloc
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from topicloom.operators import kernel, lookup
 from topicloom.operators.assign import Rule, best_matches
 from topicloom.operators.components import connected_components
 from topicloom.operators.dbscan import dbscan
@@ -375,3 +377,33 @@ def test_clusters_without_any_category(spark, categories):
     metric = Metric((("centroid_vec", 0.75),), 0.25, 0.0, 0.0, True, True)
     found = dbscan(cluster_points(spark.createDataFrame(rows, schema)), metric, 0.2, categories).collect()
     assert {(r.id, r.root) for r in found} == {("x", "x"), ("y", "x")}
+
+
+def test_terms_of_many_signatures_are_added_up_by_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    names = [f"n{i:02d}" for i in range(40)]
+    pairs = [(a, b, float(rng.random())) for i, a in enumerate(names) for b in names[i:] if rng.random() < 0.7]
+    lists = [rng.choice(names + ["zz"], rng.integers(0, 4)).tolist() for _ in range(60)]
+    table = pa.table({"id": [str(i) for i in range(60)], "title_vec": [[0.0, 1.0]] * 60,
+                      "cats": pa.array(lists, pa.list_(pa.string())),
+                      "shares": pa.array([rng.random(len(x)).tolist() for x in lists], pa.list_(pa.float64()))})
+    block, listed = kernel.Block(table, ["title_vec"]), kernel.category_table(*zip(*pairs))
+    every = np.arange(len(block.bare))
+    for metric in (METRIC, replace(METRIC, use_shares=False), replace(METRIC, cap=True)):
+        monkeypatch.setattr(kernel, "DENSE_TERMS", 1 << 40)
+        dense = kernel.category_terms(block, block, metric, listed)
+        monkeypatch.setattr(kernel, "DENSE_TERMS", 0)
+        sparse = kernel.category_terms(block, block, metric, listed)
+        assert isinstance(sparse, kernel.PairTerms)
+        np.testing.assert_allclose(sparse[np.ix_(every, every)], dense, atol=1e-12)
+
+
+@pytest.mark.parametrize("most", [16_000_000, 0])
+def test_edges_with_a_table_that_is_sent_to_the_tiles(spark, truth, monkeypatch, most):
+    ids, parts, x, cats, near = truth
+    monkeypatch.setattr(lookup, "LISTED_PAIRS", most)
+    table = spark.createDataFrame(TABLE, "first_category string, second_category string, distance double")
+    sent = share_categories(table, 0)
+    assert (sent.partners is not None, sent.blocks(64)) == ((True, 5) if most else (False, 64))
+    found = eps_edges(frame(spark, ids, parts, x, cats), METRIC, EPS, sent, block_rows=50).collect()
+    assert {(r.src, r.dst): r.distance for r in found} == {(ids[j], ids[i]): d for (i, j), d in near.items()}
