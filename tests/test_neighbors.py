@@ -14,7 +14,7 @@ from topicloom.operators.assign import Rule, best_matches
 from topicloom.operators.components import connected_components
 from topicloom.operators.dbscan import dbscan
 from topicloom.operators.kernel import PAIRS, category_table, signatures
-from topicloom.operators.neighbors import (BOTH, copy_edges, core_points, degrees, distinct_points, eps_edges, links, nearby_order, neighbor_counts,
+from topicloom.operators.neighbors import (BOTH, LEFT, RIGHT, copy_edges, core_points, degrees, distinct_points, eps_edges, links, nearby_order, neighbor_counts,
                                            place, place_across, tile_edges)
 from topicloom.operators.ordinal import number_keys, number_within
 from topicloom.operators.lookup import share_categories
@@ -407,3 +407,33 @@ def test_edges_with_a_table_that_is_sent_to_the_tiles(spark, truth, monkeypatch,
     assert (sent.partners is not None, sent.blocks(64)) == ((True, 5) if most else (False, 64))
     found = eps_edges(frame(spark, ids, parts, x, cats), METRIC, EPS, sent, block_rows=50).collect()
     assert {(r.src, r.dst): r.distance for r in found} == {(ids[j], ids[i]): d for (i, j), d in near.items()}
+
+
+def scattered(spark, n=1500):
+    """Twelve topics of near points, a quarter of each far from all others: bounds between whole cells keep few apart."""
+    rng = np.random.default_rng(11)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(rng.normal(size=(12, 32)))[rng.integers(0, 12, n)] + unit(rng.normal(size=(n, 32))) * np.where(rng.random(n) < 0.25, 0.9, 0.2)[:, None]
+    ids = [f"s{i:04d}" for i in range(n)]
+    return ids, x, frame(spark, ids, ["p"] * n, x, [["a"]] * n)
+
+
+def test_points_are_sent_only_where_a_point_may_be_near(spark):
+    ids, x, points = scattered(spark)
+    table = share_categories(spark.createDataFrame(TABLE, "first_category string, second_category string, distance double"))
+    near = {(i, j) for i in range(len(ids)) for j in np.nonzero(0.9 * np.linalg.norm(x[i] - x, axis=1) <= EPS - 1e-6)[0] if i < j}
+    sent = points.withColumn("low", F.col("id") < "s0750")
+    tiles = {"within": place(points, METRIC, EPS, table, connect=False, block_rows=50, anchor_blocks=1).rows,
+             "across": place_across(sent.where("low"), sent.where("not low"), METRIC, EPS, table, block_rows=50, anchor_blocks=1)}
+    for name, rows in tiles.items():
+        rows = rows.select("tile", "id", "side").toPandas()
+        sides = {}
+        for tile, id_, side in rows.itertuples(index=False):
+            sides.setdefault(tile, {LEFT: set(), RIGHT: set(), BOTH: set()})[side].add(int(id_[1:]))
+        met = set()
+        for s in sides.values():
+            met |= {(min(i, j), max(i, j)) for i in s[LEFT] for j in s[RIGHT]} | {(i, j) for i in s[BOTH] for j in s[BOTH] if i < j}
+        wanted = near if name == "within" else {(i, j) for i, j in near if i < 750 <= j}
+        assert wanted and wanted <= met
+        # 8.1 and 6.2 copies when whole cells were sent
+        assert len(rows) < (5.5 if name == "within" else 4) * len(ids)
