@@ -168,3 +168,61 @@ def test_nearest_is_exact():
         want = np.full((len(x), k), np.inf)
         want[:, : min(k, len(y))] = np.sort(d, axis=1)[:, :k]
         assert np.array_equal(nearest(x, y, metric, listed, k, same), want)
+
+
+def test_meeting_gives_exact_reductions(monkeypatch):
+    """Counts, links, smallest roots, nearest points and spanning trees of two blocks against all their distances, in small chunks,
+    for copies, far offsets and large vectors."""
+    import pyarrow as pa
+
+    from topicloom.operators import dense
+    from topicloom.operators.kernel import Block, category_table, spanning_tree, strips, unite
+
+    monkeypatch.setattr(dense, "CHUNK", 16)
+    monkeypatch.setattr(dense, "WIDE", 2)
+    metric = Metric((("title_vec", 0.8), ("content_vec", 0.1)), 0.1, 1.0, 1.0, True, False)
+    listed = category_table(["a", "a"], ["a", "b"], [0.0, 0.4])
+
+    def block(n, seed, scale, offset):
+        rng = np.random.default_rng(seed)
+        x = np.random.default_rng(9).normal(size=(4, 5))[rng.integers(0, 4, n)] * 2 + rng.normal(size=(n, 5)) * rng.choice([0.05, 0.3], (n, 1))
+        x[: n // 5] = x[0]
+        x = x * scale + offset
+        cats = [[["a"], ["b"], ["a", "b"], []][i % 4] for i in range(n)]
+        return Block(pa.table({"id": [str(i) for i in range(n)], "title_vec": x.tolist(), "content_vec": x[:, ::-1].tolist(),
+                               "cats": pa.array(cats, pa.list_(pa.string())),
+                               "shares": pa.array([[1 / len(c)] * len(c) if c else [] for c in cats], pa.list_(pa.float64()))}), metric.columns)
+
+    for scale, offset in ((1, 0), (1, 1e4), (1e6, 0)):
+        a, b, eps = block(110, 1, scale, offset), block(70, 2, scale, offset), 0.5 * scale
+        for y in (b, a):
+            d = np.concatenate([part for _, part in strips(a, y, metric, listed)])
+            same, near, weights = y is a, d <= eps, np.arange(1, len(y) + 1) % 3 + 1
+            meet = dense.Meeting(a, y, metric, listed, eps)
+            code = np.arange(len(y)) * 7 % 20
+            assert np.array_equal(meet.smallest(eps, code, 20), np.where(near, code[None], 20).min(axis=1))
+            if same:
+                np.fill_diagonal(near, False)
+            n, m = meet.count(eps, weights if same else np.ones(len(a)), weights)
+            assert np.array_equal(n, near @ weights) and np.array_equal(m, weights @ near if same else near.sum(axis=0))
+            nodes, shift = (len(a), 0) if same else (len(a) + len(y), len(a))
+            one, two = np.arange(nodes), np.arange(nodes)
+            meet.connect(eps, one, np.arange(len(a)), np.arange(len(y)) + shift)
+            unite(two, *(np.nonzero(near) + np.array([[0], [shift]])))
+            assert np.array_equal(one, two)
+            pairs = {(i, j): v for i, j, v in ((i, j, v) for p in meet.pairs(eps) for i, j, v in zip(*p))}
+            want = {(i, j) for i, j in zip(*np.nonzero(near))}
+            assert {p for q in pairs for p in ((q, q[::-1]) if same else (q,))} == want and len(pairs) == len(want) // (2 if same else 1)
+            if same:
+                np.fill_diagonal(d, np.inf)
+            found = meet.nearest(3)
+            assert np.allclose(found[0], np.sort(d, axis=1)[:, :3], rtol=0, atol=2e-9) and np.allclose(found[1], np.sort(d, axis=0)[:3].T, rtol=0, atol=2e-9)
+            core_a, core_b = found[0][:, 1], found[1][:, 1]
+            reach, cost = np.maximum(np.maximum(core_a[:, None], core_b[None]), d), np.full((nodes, nodes), np.inf)
+            cost[:len(a), shift:] = reach
+            cost[shift:, :len(a)] = reach.T
+            u, v, w = meet.tree(core_a, core_b, known=2)
+            label = np.arange(nodes)
+            unite(label, u, v)
+            assert len(w) == nodes - 1 and not label.any() and np.allclose(cost[u, v], w, rtol=0, atol=2e-9)
+            assert np.allclose(np.sort(w), np.sort(spanning_tree(cost)[2]), rtol=0, atol=5e-9)
