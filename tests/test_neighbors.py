@@ -437,3 +437,24 @@ def test_points_are_sent_only_where_a_point_may_be_near(spark):
         assert wanted and wanted <= met
         # 8.1 and 6.2 copies when whole cells were sent
         assert len(rows) < (5.5 if name == "within" else 4) * len(ids)
+
+
+def test_vectors_are_not_written_with_cells_or_roots(spark, monkeypatch):
+    """Of a part of many blocks points are written once, and those whose neighbours must be counted elsewhere once more."""
+    from topicloom.operators import dbscan as clustering
+    from topicloom.operators import neighbors
+
+    ids, x, points = scattered(spark)
+    table = share_categories(spark.createDataFrame(TABLE, "first_category string, second_category string, distance double"))
+    held = []
+
+    def seen(rows, name):
+        held.extend([name] * ("title_vec" in rows.columns))
+        return cut(rows, name)
+
+    monkeypatch.setattr(neighbors, "cut", seen)
+    monkeypatch.setattr(clustering, "cut", seen)
+    found = {(r.id, r.root) for r in dbscan(points, METRIC, EPS, table, 4, block_rows=100, anchor_blocks=1).collect()}
+    assert held == ["flagged", "settled"]
+    near = {(i, j) for i in range(len(ids)) for j in np.nonzero(0.9 * np.linalg.norm(x[i] - x, axis=1) <= EPS)[0] if i < j}
+    assert found == reference_dbscan(ids, near, 4)
